@@ -216,13 +216,13 @@ def trips_per_hour(df: DataFrame, by: Sequence[str] = ("taxi_type",)) -> DataFra
     Rows are combined per clock hour first, so hours are counted without carrying a
     distinct set.
     """
-    hours = df.groupBy(*by, F.date_trunc("hour", "pickup_datetime").alias("hour")).agg(
-        _trips().alias("trips")
-    )
+    hours = df.groupBy(
+        *by, F.to_date("pickup_datetime").alias("day"), F.hour("pickup_datetime").alias("hour")
+    ).agg(_trips().alias("trips"))
     return hours.groupBy(*by).agg(
         F.sum("trips").alias("total_trips"),
-        F.count("hour").alias("active_hours"),
-        F.try_divide(F.sum("trips"), F.count("hour")).alias("trips_per_hour"),
+        F.count("day").alias("active_hours"),
+        F.try_divide(F.sum("trips"), F.count("day")).alias("trips_per_hour"),
     )
 
 

@@ -72,7 +72,7 @@ def combined(spark: SparkSession, layout: Layout, feeds: list[str]) -> DataFrame
 
 
 def build_gold(spark: SparkSession, layout: Layout, feeds: list[str]) -> None:
-    """Store the combined trips and the zone and time aggregates, each a small sorted file."""
+    """Store the combined trips, and the zone and time aggregates in their sort order."""
     trips = combined(spark, layout, feeds)
     zones = load_from_parquet(spark, layout.zones())
     save_to_parquet(trips, layout.gold("combined_taxi_data"))

@@ -5,7 +5,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from fareloom.operators import aggregates, cleaning, feeds, outliers, quality, statistics, text
 from fareloom.operators.features import add_derived_features
@@ -14,7 +13,7 @@ from fareloom.plans import medallion, sample_layers, sample_trips
 from fareloom.plans.sample_trips import FEEDS
 from fareloom.sources import readers
 from fareloom.sources.schema_checks import conform, validate_schema
-from fareloom.sources.schemas import FEED_SCHEMAS, PROCESSED_AT, ZONE_SCHEMA
+from fareloom.sources.schemas import FEED_SCHEMAS, PROCESSED_AT, ZONE_SCHEMA, declared
 from fareloom.sources.sinks import new_folder, save_to_parquet, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,9 +130,9 @@ def zscore_filter(df: DataFrame) -> DataFrame:
 
 def summary_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of each feed and of both together."""
-    silver = _silver(spark, sf_dir)
-    parts = [(silver.filter(F.col("taxi_type") == feed), feed) for feed in FEEDS]
-    totals = (statistics.summary_totals(df, name) for df, name in [*parts, (silver, "combined")])
+    tables = {feed: sample_layers.silver_feed(spark, sf_dir, feed) for feed in FEEDS}
+    tables["combined"] = _silver(spark, sf_dir)
+    totals = (statistics.summary_totals(df, name) for name, df in tables.items())
     return _means_and_revenue(reduce(DataFrame.unionByName, totals))
 
 
@@ -159,8 +158,8 @@ def schema_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-DECLARED_ORDER = StructType.fromDDL(
-    "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_clerk STRING"
+DECLARED_ORDER = declared(
+    {"o_orderkey": "long", "o_custkey": "long", "o_totalprice": "double", "o_clerk": "string"}
 )
 
 

@@ -2,59 +2,74 @@
 
 from pyspark.sql.types import StructType
 
+
+def declared(columns: dict[str, str]) -> StructType:
+    """Nullable fields from names and types; needs no running session."""
+    schema = StructType()
+    for name, kind in columns.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 # Column names, types and order of the three inputs. All fields are nullable.
-YELLOW_SCHEMA = StructType.fromDDL("""
-    VendorID INT,
-    tpep_pickup_datetime TIMESTAMP,
-    tpep_dropoff_datetime TIMESTAMP,
-    passenger_count BIGINT,
-    trip_distance DOUBLE,
-    RatecodeID BIGINT,
-    store_and_fwd_flag STRING,
-    PULocationID INT,
-    DOLocationID INT,
-    payment_type BIGINT,
-    fare_amount DOUBLE,
-    extra DOUBLE,
-    mta_tax DOUBLE,
-    tip_amount DOUBLE,
-    tolls_amount DOUBLE,
-    improvement_surcharge DOUBLE,
-    total_amount DOUBLE,
-    congestion_surcharge DOUBLE,
-    Airport_fee DOUBLE,
-    cbd_congestion_fee DOUBLE
-""")
+YELLOW_SCHEMA = declared(
+    {
+        "VendorID": "integer",
+        "tpep_pickup_datetime": "timestamp",
+        "tpep_dropoff_datetime": "timestamp",
+        "passenger_count": "long",
+        "trip_distance": "double",
+        "RatecodeID": "long",
+        "store_and_fwd_flag": "string",
+        "PULocationID": "integer",
+        "DOLocationID": "integer",
+        "payment_type": "long",
+        "fare_amount": "double",
+        "extra": "double",
+        "mta_tax": "double",
+        "tip_amount": "double",
+        "tolls_amount": "double",
+        "improvement_surcharge": "double",
+        "total_amount": "double",
+        "congestion_surcharge": "double",
+        "Airport_fee": "double",
+        "cbd_congestion_fee": "double",
+    }
+)
 
-GREEN_SCHEMA = StructType.fromDDL("""
-    VendorID INT,
-    lpep_pickup_datetime TIMESTAMP,
-    lpep_dropoff_datetime TIMESTAMP,
-    store_and_fwd_flag STRING,
-    RatecodeID BIGINT,
-    PULocationID INT,
-    DOLocationID INT,
-    passenger_count BIGINT,
-    trip_distance DOUBLE,
-    fare_amount DOUBLE,
-    extra DOUBLE,
-    mta_tax DOUBLE,
-    tip_amount DOUBLE,
-    tolls_amount DOUBLE,
-    ehail_fee DOUBLE,
-    improvement_surcharge DOUBLE,
-    total_amount DOUBLE,
-    payment_type BIGINT,
-    trip_type BIGINT,
-    congestion_surcharge DOUBLE
-""")
+GREEN_SCHEMA = declared(
+    {
+        "VendorID": "integer",
+        "lpep_pickup_datetime": "timestamp",
+        "lpep_dropoff_datetime": "timestamp",
+        "store_and_fwd_flag": "string",
+        "RatecodeID": "long",
+        "PULocationID": "integer",
+        "DOLocationID": "integer",
+        "passenger_count": "long",
+        "trip_distance": "double",
+        "fare_amount": "double",
+        "extra": "double",
+        "mta_tax": "double",
+        "tip_amount": "double",
+        "tolls_amount": "double",
+        "ehail_fee": "double",
+        "improvement_surcharge": "double",
+        "total_amount": "double",
+        "payment_type": "long",
+        "trip_type": "long",
+        "congestion_surcharge": "double",
+    }
+)
 
-ZONE_SCHEMA = StructType.fromDDL("""
-    LocationID INT,
-    Borough STRING,
-    Zone STRING,
-    service_zone STRING
-""")
+ZONE_SCHEMA = declared(
+    {
+        "LocationID": "integer",
+        "Borough": "string",
+        "Zone": "string",
+        "service_zone": "string",
+    }
+)
 
 # What each feed calls its two time columns.
 FEED_RENAMES = {

@@ -1,0 +1,45 @@
+"""Every registered query against its SQL."""
+
+import pytest
+from conftest import SF_DIR
+from oracle_compare import connect, differences
+
+import __spark_entry__ as driver
+
+SQL = driver.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def engine():
+    return connect(SF_DIR)
+
+
+@pytest.mark.parametrize("name", list(SQL))
+def test_query_equals_its_sql(spark, engine, name):
+    assert differences(driver.queries()[name](spark, SF_DIR), engine, SQL[name]) == []
+
+
+def test_every_query_has_sql(spark):
+    assert set(driver.queries()) == set(SQL)
+
+
+def test_entry(spark):
+    assert driver.entry(spark).collect() == driver.queries()["zone_aggregate"](spark, SF_DIR).collect()
+
+
+def test_no_plan_runs_python_or_a_cross_join(spark, plan):
+    for name, query in driver.queries().items():
+        text = plan(query(spark, SF_DIR))
+        for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert operator not in text, name
+
+
+def test_results_do_not_depend_on_broadcasting(spark, engine):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("zone_join", "zone_aggregate"):
+            assert differences(driver.queries()[name](spark, SF_DIR), engine, SQL[name]) == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
