@@ -3,7 +3,7 @@
 A quantile is the smallest value whose rank is at least ``ceil(p * n)``, n counting
 the non-NULL values. Approximate digests answer that with an error that grows with n,
 and one precise enough to be exact is as large as the data. That is fine for a table known
-to be small, and is what happens there. Otherwise a coarse digest gives a first
+to be small, and is what happens there. Otherwise a small sketch gives a first
 bracket around each quantile and the bracket is then narrowed: every round
 counts the rows in evenly spaced buckets inside the bracket, picks the bucket that holds
 the wanted rank and continues with that bucket's smallest and largest value, until
@@ -20,7 +20,11 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 BUCKETS = 2048
-COARSE_ACCURACY = 1000
+
+# Sketches of this size are off by less than the slack in rank, bar rare cases that cost a round.
+SKETCH_SIZE = 2048
+SLACK = 0.002
+MERGE_GROUPS = 256
 
 # A digest loses nothing while its accuracy is more than twice the number of rows.
 SMALL_TABLE_ROWS = 400_000
@@ -63,6 +67,11 @@ class _Target:
                 return
 
 
+def lossless_accuracy(rows: int) -> int | None:
+    """Accuracy at which a digest of so many rows is exact; None if it would grow too large."""
+    return LOSSLESS_ACCURACY if rows <= SMALL_TABLE_ROWS else None
+
+
 def exact_quantiles(
     df: DataFrame, targets: Mapping[str, Sequence[float]], at_most: int | None = None
 ) -> dict[str, list[float | None]]:
@@ -74,8 +83,9 @@ def exact_quantiles(
     """
     if at_most is None:
         at_most = df.count()
-    if at_most <= SMALL_TABLE_ROWS:
-        return _from_lossless_digest(df, targets)
+    accuracy = lossless_accuracy(at_most)
+    if accuracy is not None:
+        return _from_digest(df, targets, accuracy)
     searches = _first_brackets(df, targets)
     while open_ := [t for group in searches.values() for t in group if not t.found]:
         columns = list(dict.fromkeys(t.column for t in open_))
@@ -94,12 +104,12 @@ def exact_quantiles(
     }
 
 
-def _from_lossless_digest(
-    df: DataFrame, targets: Mapping[str, Sequence[float]]
+def _from_digest(
+    df: DataFrame, targets: Mapping[str, Sequence[float]], accuracy: int
 ) -> dict[str, list[float | None]]:
     digests = df.agg(
         *(
-            F.percentile_approx(F.col(c).cast("double"), list(p), LOSSLESS_ACCURACY).alias(f"p{i}")
+            F.percentile_approx(F.col(c).cast("double"), list(p), accuracy).alias(f"p{i}")
             for i, (c, p) in enumerate(targets.items())
         )
     ).first()
@@ -110,30 +120,43 @@ def _from_lossless_digest(
 
 
 def _first_brackets(df: DataFrame, targets: Mapping[str, Sequence[float]]) -> dict[str, list[_Target]]:
-    slack = 2 / COARSE_ACCURACY
-    measures = []
+    """A guess around each quantile from mergeable sketches of bounded size.
+
+    Sketches of the tasks are merged in groups and the groups' in one, so that no
+    single task receives a sketch from every task of a large scan.
+    """
+    series = range(len(targets))
+    values = df.select(*(F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(targets)))
+    groups = values.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("merge_group")).agg(
+        *(F.count(f"v{i}").alias(f"n{i}") for i in series),
+        *(F.kll_sketch_agg_double(f"v{i}", SKETCH_SIZE).alias(f"sketch{i}") for i in series),
+    )
+    sketches = groups.agg(
+        *(F.sum(f"n{i}").alias(f"n{i}") for i in series),
+        *(F.kll_merge_agg_double(f"sketch{i}", SKETCH_SIZE).alias(f"sketch{i}") for i in series),
+    )
+    ends = []
+    for i, probabilities in enumerate(targets.values()):
+        sketch = F.col(f"sketch{i}")
+        sides = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-SLACK, SLACK)]
+        # A sketch leaves NaN out and is empty if there is nothing else.
+        ends.append(
+            F.when(
+                F.kll_sketch_get_n_double(sketch) > 0,
+                F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, sides))),
+            ).alias(f"ends{i}")
+        )
+    guess = sketches.select(*(f"n{i}" for i in series), *ends).first()
+    searches = {}
     for i, (column, probabilities) in enumerate(targets.items()):
-        value = F.col(column).cast("double")
-        ends = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-slack, slack)]
-        measures += [
-            F.count(value).alias(f"n{i}"),
-            F.percentile_approx(value, ends, COARSE_ACCURACY).alias(f"ends{i}"),
-        ]
-    digest = df.agg(*measures).first()
-    return {
-        column: [
-            _Target(
-                column,
-                max(1, math.ceil(p * digest[f"n{i}"])),
-                digest[f"ends{i}"][2 * j],
-                digest[f"ends{i}"][2 * j + 1],
-            )
+        rows = guess[f"n{i}"] or 0
+        sides = guess[f"ends{i}"] or [-math.inf, math.inf] * len(probabilities)
+        searches[column] = [
+            _Target(column, max(1, math.ceil(p * rows)), sides[2 * j], sides[2 * j + 1])
             for j, p in enumerate(probabilities)
+            if rows
         ]
-        if digest[f"n{i}"]
-        else []
-        for i, (column, probabilities) in enumerate(targets.items())
-    }
+    return searches
 
 
 def _histogram(df: DataFrame, columns: list[str], targets: list[_Target]) -> list[Row]:

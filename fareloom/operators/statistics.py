@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.operators.quantiles import exact_quantiles
+from fareloom.operators.quantiles import exact_quantiles, lossless_accuracy
 
 # Columns described on the raw layer and summarised on the refined layer.
 DESCRIBED_COLUMNS = ("trip_distance", "fare_amount", "total_amount", "tip_amount", "passenger_count")
@@ -42,11 +42,14 @@ def summary_statistics(
 ) -> DataFrame:
     """Per column: mean, sample stddev, min, max and median, 0 where there is no value.
 
-    The median is exact, found ahead of the aggregate in a few scans of a stored table;
-    with ``accuracy`` it is an approximate one taken in the same aggregate.
+    The median is exact: taken in the same aggregate for a small table, and found ahead of
+    it in a few scans of a large stored one. With ``accuracy`` it is an approximate one.
     """
     if accuracy is None:
-        medians = exact_quantiles(df, {c: (0.5,) for c in columns})
+        rows = df.count()
+        accuracy = lossless_accuracy(rows)
+    if accuracy is None:
+        medians = exact_quantiles(df, {c: (0.5,) for c in columns}, at_most=rows)
         median = {c: F.lit(medians[c][0]) for c in columns}
     else:
         median = {c: F.percentile_approx(c, 0.5, accuracy) for c in columns}

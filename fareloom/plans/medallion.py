@@ -10,9 +10,23 @@ from fareloom.operators.cleaning import clean_trips, drop_duplicates
 from fareloom.operators.features import add_derived_features
 from fareloom.operators.feeds import add_metadata_columns, combine_feeds, standardize_column_names
 from fareloom.operators.outliers import remove_outliers
-from fareloom.sources.readers import load_from_parquet
+from fareloom.sources.readers import (
+    get_file_paths,
+    load_from_parquet,
+    read_deliveries,
+    read_lookup_csv,
+    read_parquet,
+)
+from fareloom.sources.schemas import FEED_SCHEMAS, ZONE_SCHEMA
 from fareloom.sources.sinks import save_to_parquet
 
+# Where deliveries are found below the raw folder.
+FEED_PATTERNS = {
+    "yellow": "taxi/yellow_tripdata_2025-*.parquet",
+    "green": "taxi/green_tripdata_2025-*.parquet",
+}
+ZONE_LOOKUP = "lookup/taxi_zone_lookup.csv"
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -33,6 +47,27 @@ class Layout:
         return f"{self.root}/gold/{table}"
 
 
+def raw_feeds(
+    spark: SparkSession,
+    raw_dir: str,
+    patterns: Mapping[str, str] = FEED_PATTERNS,
+    drifted: bool = False,
+) -> dict[str, DataFrame]:
+    """The feeds that have deliveries matching their pattern, each as one table.
+
+    With ``drifted`` every file is taken as a delivery of its own whose stored types may
+    differ, and is cast to the feed's declared schema.
+    """
+    feeds = {}
+    for feed, pattern in patterns.items():
+        files = get_file_paths(spark, raw_dir, pattern)
+        if files and drifted:
+            feeds[feed] = read_deliveries(spark, files, FEED_SCHEMAS[feed])
+        elif files:
+            feeds[feed] = read_parquet(spark, f"{raw_dir}/{pattern}")
+    return feeds
+
+
 def ingest(raw: DataFrame, feed: str) -> DataFrame:
     """A delivered feed under common column names, with its lineage columns."""
     return add_metadata_columns(standardize_column_names(raw, feed), feed)
@@ -78,3 +113,22 @@ def build_gold(spark: SparkSession, layout: Layout, feeds: list[str]) -> None:
     save_to_parquet(trips, layout.gold("combined_taxi_data"))
     save_to_parquet(aggregate_by_zone(trips, zones), layout.gold("zone_analytics"))
     save_to_parquet(aggregate_by_time(trips), layout.gold("time_analytics"))
+
+
+def run(
+    spark: SparkSession,
+    raw_dir: str,
+    out_dir: str,
+    patterns: Mapping[str, str] = FEED_PATTERNS,
+    drifted: bool = False,
+) -> Layout:
+    """From delivered files and the zone lookup to all three stored layers."""
+    layout = Layout(out_dir)
+    feeds = raw_feeds(spark, raw_dir, patterns, drifted)
+    if not feeds:
+        raise ValueError(f"no deliveries found in {raw_dir}")
+    zones = read_lookup_csv(spark, f"{raw_dir}/{ZONE_LOOKUP}", ZONE_SCHEMA)
+    build_bronze(layout, feeds, zones)
+    build_silver(spark, layout, list(feeds))
+    build_gold(spark, layout, list(feeds))
+    return layout

@@ -172,3 +172,30 @@ def test_hit_rate(spark):
     inside = inside_circle(F.col("x"), F.col("y"))
     assert tuple(hit_rate(df, inside, scale=4.0).first()) == (4, 2, 2.0)
     assert tuple(hit_rate(df.limit(0), inside).first()) == (0, 0, None)
+
+
+def test_a_place_with_a_third_of_all_trips_joins_whole_without_broadcast(spark, zones, plan):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        trips = spark.range(300_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise((F.col("id") % 400).cast("int")).alias("PULocationID"), "id"
+        )
+        joined = A.join_pickup_zone(trips, zones)
+        assert "SortMergeJoin" in plan(joined)
+        found = joined.groupBy("pickup_zone").count().collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    expected = {"Z1": 0, "Z2": 0, "Z3": 0, None: 0}
+    for i in range(300_000):
+        place = 1 if i % 3 == 0 else i % 400
+        expected[{1: "Z1", 2: "Z2", 3: "Z3"}.get(place)] += 1
+    assert {r.pickup_zone: r["count"] for r in found} == expected

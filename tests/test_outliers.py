@@ -62,7 +62,7 @@ def test_narrowing_equals_sorting_on_any_doubles(spark, values):
 
 def test_narrowing_takes_several_rounds_when_buckets_are_few(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "BUCKETS", 2)
-    monkeypatch.setattr(quantiles, "COARSE_ACCURACY", 10)
+    monkeypatch.setattr(quantiles, "SKETCH_SIZE", 8)
     df = spark.range(5000).select((F.hash("id") / 7).alias("x"))
     values = [r.x for r in df.collect()]
     assert exact_quantiles(df, {"x": PROBABILITIES}, at_most=HUGE)["x"] == by_sorting(values, PROBABILITIES)

@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fareloom.__main__ import main
 from fareloom.operators.feeds import (
     add_metadata_columns,
     column_overlap,
     combine_feeds,
     standardize_column_names,
 )
-from fareloom.plans.medallion import Layout, build_bronze, build_gold, build_silver
+from fareloom.plans.medallion import Layout, build_bronze, build_gold, build_silver, run
 from fareloom.plans.sample_trips import FEEDS, as_feed, delivered_trips, zone_lookup
 from fareloom.sources import (
     FEED_SCHEMAS,
@@ -212,3 +213,46 @@ def test_an_absent_feed_is_skipped(spark, tmp_path):
     build_silver(spark, layout, ["green"])
     build_gold(spark, layout, ["green"])
     assert load_from_parquet(spark, layout.gold("combined_taxi_data")).select("taxi_type").distinct().count() == 1
+
+
+def test_layers_from_delivered_files(spark, tmp_path):
+    trips = stage(delivered_trips(spark, SF_DIR))
+    yellow = as_feed(trips, "yellow")
+    raw = tmp_path / "raw"
+    half = F.col("VendorID") == 1
+    drifted = yellow.withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    save_to_parquet(yellow.filter(half), f"{raw}/taxi/yellow_tripdata_2025-01.parquet")
+    save_to_parquet(drifted.filter(~half), f"{raw}/taxi/yellow_tripdata_2025-02.parquet")
+    zones = zone_lookup(spark, SF_DIR).coalesce(1).write.option("header", True)
+    zones.csv(f"{raw}/lookup/taxi_zone_lookup.csv")
+
+    layout = run(spark, str(raw), str(tmp_path / "out"), drifted=True)
+    bronze = load_from_parquet(spark, layout.bronze("yellow"))
+    assert bronze.count() == yellow.count()
+    assert dict(bronze.dtypes)["passenger_count"] == "bigint"
+    gold = load_from_parquet(spark, layout.gold("zone_analytics"))
+    silver = load_from_parquet(spark, layout.silver("yellow"))
+    assert gold.agg(F.sum("total_trips")).first()[0] == silver.count() > 0
+    assert not (tmp_path / "out/silver/green_taxi").exists()
+
+
+def test_nothing_delivered_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="no deliveries"):
+        run(spark, str(tmp_path), str(tmp_path / "out"))
+
+
+def test_a_key_with_a_third_of_the_rows_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        df = spark.range(200_000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1))
+        save_to_parquet(df, str(tmp_path / "t"), partition_by=["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "k=0").glob("*.parquet"))) > 1
+    assert load_from_parquet(spark, str(tmp_path / "t")).count() == 200_000
+
+
+def test_wordcount_job(spark, tmp_path, capfd):
+    (tmp_path / "t.txt").write_text("b a b\n")
+    main(["wordcount", str(tmp_path / "t.txt"), "-k", "1"])
+    assert "|b   |2    |" in capfd.readouterr().out
