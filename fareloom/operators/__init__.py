@@ -52,7 +52,7 @@ from fareloom.operators.statistics import (
     summary_totals,
     table_shape,
 )
-from fareloom.operators.text import top_words, word_count, words
+from fareloom.operators.text import top_words, word_count, word_totals, words
 
 __all__ = [
     "add_derived_features",
@@ -105,5 +105,6 @@ __all__ = [
     "trips_per_hour",
     "weekend_pattern",
     "word_count",
+    "word_totals",
     "words",
 ]

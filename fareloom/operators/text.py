@@ -14,11 +14,16 @@ def words(df: DataFrame, column: str = "value", pattern: str = NON_WORD) -> Data
     return df.select(F.explode(F.split(column, pattern)).alias("word")).filter("word <> ''")
 
 
-def word_count(df: DataFrame, column: str = "value", pattern: str = NON_WORD) -> DataFrame:
+def word_totals(df: DataFrame, column: str = "value", pattern: str = NON_WORD) -> DataFrame:
     """Occurrences of each word; unsorted. Frequent words are combined before the shuffle."""
     return words(df, column, pattern).groupBy("word").count()
 
 
+def word_count(df: DataFrame, column: str = "value", pattern: str = NON_WORD) -> DataFrame:
+    """Occurrences of each word, most frequent first."""
+    return word_totals(df, column, pattern).orderBy(F.desc("count"), "word")
+
+
 def top_words(df: DataFrame, k: int = 20, column: str = "value") -> DataFrame:
     """The ``k`` most frequent words."""
-    return top_k(word_count(df, column), k, "count", "word")
+    return top_k(word_totals(df, column), k, "count", "word")

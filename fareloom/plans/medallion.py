@@ -1,6 +1,6 @@
 """The three layers: bronze (as delivered), silver (refined), gold (aggregated)."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,10 +95,13 @@ def build_bronze(
         save_to_parquet(zones, layout.zones())
 
 
-def build_silver(spark: SparkSession, layout: Layout, feeds: list[str]) -> None:
-    """Refine the stored bronze feeds."""
+def build_silver(
+    spark: SparkSession, layout: Layout, feeds: list[str], partition_by: Sequence[str] = ()
+) -> None:
+    """Refine the stored bronze feeds, optionally into one folder per year and month, say."""
     for feed in feeds:
-        save_to_parquet(refine(load_from_parquet(spark, layout.bronze(feed))), layout.silver(feed))
+        trips = refine(load_from_parquet(spark, layout.bronze(feed)))
+        save_to_parquet(trips, layout.silver(feed), partition_by=partition_by)
 
 
 def combined(spark: SparkSession, layout: Layout, feeds: list[str]) -> DataFrame:

@@ -177,7 +177,7 @@ def _null_profile(load_columns: tuple[str, ...]) -> str:
             )
         # The load time is never NULL.
         rows += [
-            f"SELECT '{feed}', '{column}', 0, 0.0 FROM (SELECT 1)" for column in load_columns
+            f"SELECT '{feed}', '{column}', 0, 0.0" for column in load_columns
         ]
     return _union(rows)
 
@@ -199,7 +199,7 @@ def _quality_report() -> str:
             for metric, value in figures.items()
         ]
         for column in _FEED_COLUMNS[feed]:
-            nulls = "count(*) - count({c})".format(c=column)
+            nulls = f"count(*) - count({column})"
             for metric, value in (
                 ("null_count", nulls),
                 ("null_percentage", f"round(({nulls}) / count(*) * 100 + 1e-9, 4)"),
@@ -294,28 +294,25 @@ _YELLOW = """
 
 def _schema_comparison() -> str:
     """Green trips have all declared yellow columns but four, and four of their own."""
-    declared = [field.split() for field in _YELLOW.split(",")]
-    rows = []
-    for name, kind in declared:
-        if name in SHARED:
-            rows.append(
-                f"SELECT '{name}' AS field, 'ok' AS status, '{kind}' AS expected, '{kind}' AS actual,"
-                f" count(*) - count({name}) AS null_count FROM green"
-            )
-        else:
-            rows.append(f"SELECT '{name}', 'missing', '{kind}', NULL, NULL FROM (SELECT 1)")
     own = {
         "lpep_pickup_datetime": ("timestamp", "pickup_datetime"),
         "lpep_dropoff_datetime": ("timestamp", "dropoff_datetime"),
         "ehail_fee": ("double", "ehail_fee"),
         "trip_type": ("bigint", "trip_type"),
     }
-    for name, (kind, column) in own.items():
-        rows.append(
-            f"SELECT '{name}', 'extra', NULL, '{kind}', count(*) - count({column}) FROM green"
-        )
-    rows.sort(key=lambda sql: "AS status" not in sql)
-    return f", green AS MATERIALIZED (SELECT * FROM {_FEED_TABLES['green']})\n{_union(rows)}"
+    rows = [
+        f"SELECT '{name}', 'extra', NULL, '{kind}', count(*) - count({column}) FROM green"
+        for name, (kind, column) in own.items()
+    ]
+    for name, kind in (field.split() for field in _YELLOW.split(",")):
+        if name in SHARED:
+            rows.append(f"SELECT '{name}', 'ok', '{kind}', '{kind}', count(*) - count({name}) FROM green")
+        else:
+            rows.append(f"SELECT '{name}', 'missing', '{kind}', NULL, NULL")
+    return (
+        f", green AS MATERIALIZED (SELECT * FROM {_FEED_TABLES['green']})"
+        f" SELECT * FROM ({_union(rows)}) AS report(field, status, expected, actual, null_count)"
+    )
 
 
 TABLES = [

@@ -207,6 +207,22 @@ def test_layers_round_trip(spark, tmp_path):
         assert total == gold.count()
 
 
+def test_silver_by_month_gives_the_same_gold(spark, tmp_path, plan):
+    trips = stage(delivered_trips(spark, SF_DIR))
+    totals = []
+    for name, months in (("plain", ()), ("monthly", ("pickup_year", "pickup_month"))):
+        layout = Layout(str(tmp_path / name))
+        build_bronze(layout, {"green": as_feed(trips, "green")}, zone_lookup(spark, SF_DIR))
+        build_silver(spark, layout, ["green"], partition_by=months)
+        build_gold(spark, layout, ["green"])
+        time = load_from_parquet(spark, layout.gold("time_analytics"))
+        totals.append(sorted(time.select("pickup_year", "pickup_month", "pickup_hour", "is_weekend", "total_trips").collect()))
+    assert totals[0] == totals[1]
+    assert (tmp_path / "monthly/silver/green_taxi/pickup_year=1995").exists()
+    january = load_from_parquet(spark, layout.silver("green")).filter("pickup_year = 1995 AND pickup_month = 1")
+    assert "PartitionFilters: [isnotnull(pickup_year" in plan(january)
+
+
 def test_an_absent_feed_is_skipped(spark, tmp_path):
     layout = Layout(str(tmp_path))
     build_bronze(layout, {"green": as_feed(delivered_trips(spark, SF_DIR), "green")}, zone_lookup(spark, SF_DIR))
