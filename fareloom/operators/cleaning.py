@@ -53,7 +53,8 @@ def drop_duplicates(df: DataFrame, ignore: Sequence[str] = LOAD_COLUMNS) -> Data
 
     Grouping on the plain columns combines copies before the shuffle, so a row that is
     repeated very often sends one record per task. Filters on the compared columns
-    still move below the grouping, down to the scan.
+    still move below the grouping, down to the scan. Without a source file the grouping
+    is by hash; the smallest of a string makes Spark sort instead.
     """
     loaded = [c for c in df.columns if c in ignore]
     compared = [c for c in df.columns if c not in ignore]

@@ -337,6 +337,16 @@ def _weighted(column: str, name: str) -> str:
     return f"round(sum({column} * total_trips) / sum(total_trips) + 1e-9, 4) AS {name}_weighted"
 
 
+_ZONE_AGGREGATE = (
+    f"SELECT PULocationID, pickup_borough, pickup_zone, total_trips, {_TIME_MEANS},"
+    f" {_means('avg_tip_amount', 'avg_tip_rate')}, {_REVENUE} FROM zone_totals"
+)
+_TIME_AGGREGATE = (
+    "SELECT pickup_year, pickup_month, pickup_hour, time_period, is_weekend, total_trips,"
+    f" {_TIME_MEANS}, {_REVENUE} FROM time_totals"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "glob_scan": _union([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES]),
@@ -465,11 +475,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT PULocationID, pickup_borough, pickup_zone, pickup_datetime, total_amount"
             " FROM trips_in_zones",
         ),
-        "zone_aggregate": _from(
-            "zone_totals",
-            f"SELECT PULocationID, pickup_borough, pickup_zone, total_trips, {_TIME_MEANS},"
-            f" {_means('avg_tip_amount', 'avg_tip_rate')}, {_REVENUE} FROM zone_totals",
-        ),
+        "zone_aggregate": _from("zone_totals", _ZONE_AGGREGATE),
+        "stored_zone_analytics": _from("zone_totals", _ZONE_AGGREGATE),
         "top_zones": _from(
             "zone_totals",
             "SELECT pickup_borough, pickup_zone, total_trips,"
@@ -484,11 +491,8 @@ def oracle_sql() -> dict[str, str]:
             f" {_weighted('avg_fare_amount', 'avg_fare_amount')}"
             " FROM zone_totals GROUP BY pickup_borough",
         ),
-        "time_aggregate": _from(
-            "time_totals",
-            "SELECT pickup_year, pickup_month, pickup_hour, time_period, is_weekend, total_trips,"
-            f" {_TIME_MEANS}, {_REVENUE} FROM time_totals",
-        ),
+        "time_aggregate": _from("time_totals", _TIME_AGGREGATE),
+        "stored_time_analytics": _from("time_totals", _TIME_AGGREGATE),
         "hourly_pattern": _from(
             "time_totals",
             "SELECT pickup_hour, sum(total_trips)::BIGINT AS total_trips,"

@@ -148,6 +148,16 @@ def _stored_layers(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], Da
     return {key: readers.load_from_parquet(spark, path) for key, path in paths.items()}
 
 
+def _stored_gold(table: str) -> Query:
+    """An aggregate as it was stored in the gold layer."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = sample_layers.gold_layout(spark, sf_dir).gold(table)
+        return _means_and_revenue(readers.load_from_parquet(spark, path))
+
+    return query
+
+
 def schema_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered green columns against the declared yellow ones, with the NULLs found in each."""
     green = sample_layers.raw_feed(spark, sf_dir, "green")
@@ -329,6 +339,8 @@ def queries() -> dict[str, Query]:
         "hourly_pattern": time_rollup(lambda df: aggregates.hourly_pattern(df, weighted=True)),
         "weekend_pattern": time_rollup(lambda df: aggregates.weekend_pattern(df, weighted=True)),
         "monthly_trend": time_rollup(aggregates.monthly_trend),
+        "stored_zone_analytics": _stored_gold("zone_analytics"),
+        "stored_time_analytics": _stored_gold("time_analytics"),
         "payment_analysis": _on_silver(aggregates.payment_analysis),
         "fleet_kpis": lambda spark, sf_dir: rounded(
             _means_and_revenue(aggregates.fleet_kpis(_silver(spark, sf_dir))), "revenue_per_minute"
