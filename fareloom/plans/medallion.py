@@ -10,6 +10,7 @@ from fareloom.operators.cleaning import clean_trips, drop_duplicates
 from fareloom.operators.features import add_derived_features
 from fareloom.operators.feeds import add_metadata_columns, combine_feeds, standardize_column_names
 from fareloom.operators.outliers import remove_outliers
+from fareloom.session import size_shuffles
 from fareloom.sources.readers import (
     get_file_paths,
     load_from_parquet,
@@ -127,6 +128,7 @@ def run(
 ) -> Layout:
     """From delivered files and the zone lookup to all three stored layers."""
     layout = Layout(out_dir)
+    size_shuffles(spark, raw_dir)
     feeds = raw_feeds(spark, raw_dir, patterns, drifted)
     if not feeds:
         raise ValueError(f"no deliveries found in {raw_dir}")

@@ -11,6 +11,7 @@ from fareloom.operators.features import add_derived_features
 from fareloom.operators.ratios import hit_rate, inside_circle
 from fareloom.plans import medallion, sample_layers, sample_trips
 from fareloom.plans.sample_trips import FEEDS
+from fareloom.session import size_shuffles
 from fareloom.sources import readers
 from fareloom.sources.schema_checks import conform, validate_schema
 from fareloom.sources.schemas import FEED_SCHEMAS, PROCESSED_AT, ZONE_SCHEMA, declared
@@ -274,7 +275,28 @@ def time_rollup(report: Callable[[DataFrame], DataFrame]) -> Query:
     return _on_silver(lambda df: report(aggregates.time_totals(df)))
 
 
+_sized: set[tuple[str, str]] = set()
+
+
+def _with_shuffles_sized(query: Query) -> Query:
+    """The query, after the session's shuffles were sized for the tables, once per folder."""
+
+    def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _sized:
+            size_shuffles(spark, sf_dir)
+            _sized.add(key)
+        return query(spark, sf_dir)
+
+    return sized
+
+
 def queries() -> dict[str, Query]:
+    """All registered queries by name; each takes a session and the folder of the tables."""
+    return {name: _with_shuffles_sized(query) for name, query in _registered().items()}
+
+
+def _registered() -> dict[str, Query]:
     prepared = sample_layers.prepared
     silver_feed = sample_layers.silver_feed
     return {

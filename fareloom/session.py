@@ -1,6 +1,16 @@
-"""Session construction."""
+"""Session construction, and shuffle sizing for a given amount of input."""
+
+import math
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+# Rows take about three times the space of the compressed columns they were read from.
+ROW_EXPANSION = 3
+PARTITION_BYTES = 512 * 1024**2
+
+# Beyond this the number of shuffle blocks costs more than larger partitions spilling to disk.
+MOST_PARTITIONS = 50_000
 
 
 def get_spark(app_name: str = "fareloom", conf: dict[str, str] | None = None) -> SparkSession:
@@ -15,3 +25,18 @@ def get_spark(app_name: str = "fareloom", conf: dict[str, str] | None = None) ->
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def size_shuffles(spark: SparkSession, *folders: str) -> int:
+    """Raise the session's shuffle partitions to suit a full shuffle of the files in ``folders``.
+
+    Adaptive execution merges partitions that turn out small but does not split those of an
+    aggregate that turn out large, so the number has to start high enough. It is never lowered.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(folders))
+    stored = files.agg(F.sum("length")).first()[0] or 0
+    wanted = min(MOST_PARTITIONS, math.ceil(stored * ROW_EXPANSION / PARTITION_BYTES))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)

@@ -5,6 +5,7 @@ from conftest import SF_DIR
 from oracle_compare import connect, differences
 
 import __spark_entry__ as driver
+from fareloom.operators import quantiles
 
 SQL = driver.oracle_sql()
 
@@ -43,3 +44,9 @@ def test_results_do_not_depend_on_broadcasting(spark, engine):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["iqr_bounds", "iqr_filter", "outlier_audit", "summary_statistics"])
+def test_large_table_quantiles_equal_the_sql_too(spark, engine, monkeypatch, name):
+    monkeypatch.setattr(quantiles, "SMALL_TABLE_ROWS", 0)
+    assert differences(driver.queries()[name](spark, SF_DIR), engine, SQL[name]) == []

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fareloom import session
 from fareloom.__main__ import main
 from fareloom.operators.feeds import (
     add_metadata_columns,
@@ -136,6 +137,21 @@ def test_a_cluster_must_name_its_shared_folder():
         shared_folder(Session)
 
 
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, SF_DIR) == int(before)
+        monkeypatch.setattr(session, "PARTITION_BYTES", 100_000)
+        grown = session.size_shuffles(spark, SF_DIR)
+        assert int(before) < grown == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        monkeypatch.setattr(session, "MOST_PARTITIONS", 7)
+        assert session.size_shuffles(spark, SF_DIR) == grown
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert session.size_shuffles(spark, SF_DIR) == 7
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_schema_report(spark):
     df = spark.createDataFrame([], "a int, b timestamp_ntz, X string")
     report = {r.field: tuple(r)[1:] for r in validate_schema(df, StructType.fromDDL("a long, b timestamp, x string")).collect()}
