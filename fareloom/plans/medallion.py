@@ -31,7 +31,7 @@ ZONE_LOOKUP = "lookup/taxi_zone_lookup.csv"
 
 @dataclass(frozen=True)
 class Layout:
-    """Where each table of each layer is stored under ``root``."""
+    """Where each table of each layer is stored under ``root``; the folder names are fixed values."""
 
     root: str
 

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,11 @@ def save_to_parquet(
     df.write.mode(mode).partitionBy(*partition_by).parquet(output_path)
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="fareloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for intermediate tables.
 
@@ -41,9 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="fareloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

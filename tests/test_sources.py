@@ -1,5 +1,7 @@
 """Readers, writers, staging, schemas and feeds."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -126,15 +128,20 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert stage(spark.range(4)).inputFiles() != staged.inputFiles()
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    class Session:
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return {"spark.master": "spark://host:7077"}.get(key, default)
+class Settings:
+    """Stands for a session with the given settings only."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.get = lambda key, default=None: settings.get(key.replace(".", "_"), default)
+
 
+def test_the_shared_folder_is_the_one_the_cluster_names():
+    assert shared_folder(Settings(spark_checkpoint_dir="hdfs:///shared/", spark_master="yarn")) == "hdfs:///shared"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Session)
+        shared_folder(Settings(spark_master="spark://host:7077"))
+    local = shared_folder(Settings(spark_master="local[2]"))
+    assert Path(local).is_dir() and shared_folder(Settings(spark_master="local[2]")) == local
 
 
 def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
