@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.operators.quantiles import exact_quantiles, lossless_accuracy
+from fareloom.operators.quantiles import exact_quantiles
 
 # Columns described on the raw layer and summarised on the refined layer.
 DESCRIBED_COLUMNS = ("trip_distance", "fare_amount", "total_amount", "tip_amount", "passenger_count")
@@ -42,14 +42,11 @@ def summary_statistics(
 ) -> DataFrame:
     """Per column: mean, sample stddev, min, max and median, 0 where there is no value.
 
-    The median is exact: taken in the same aggregate for a small table, and found ahead of
-    it in a few scans of a large stored one. With ``accuracy`` it is an approximate one.
+    The median is exact, found ahead of the aggregate in a few scans of a stored table;
+    with ``accuracy`` it is an approximate one taken in the same aggregate.
     """
     if accuracy is None:
-        rows = df.count()
-        accuracy = lossless_accuracy(rows)
-    if accuracy is None:
-        medians = exact_quantiles(df, {c: (0.5,) for c in columns}, at_most=rows)
+        medians = exact_quantiles(df, {c: (0.5,) for c in columns})
         median = {c: F.lit(medians[c][0]) for c in columns}
     else:
         median = {c: F.percentile_approx(c, 0.5, accuracy) for c in columns}
@@ -76,36 +73,20 @@ def summary_statistics(
 def summary_totals(df: DataFrame, taxi_type: str) -> DataFrame:
     """One row: taxi_type, total_trips, total_revenue, busiest_hour, busiest_day.
 
-    Rows are first combined per hour and weekday, 8 x 25 groups at the most; ties go to the
-    earlier hour or day.
+    One aggregate: counting per hour and per day takes 25 and 8 counters at the most. Ties go
+    to the earlier hour or day; trips without one count as a value of their own.
     """
-    slots = df.groupBy("pickup_hour", "pickup_day_of_week").agg(
-        F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("revenue")
-    )
-    # One record per hour, per day and for the whole table out of the same few groups.
-    level = F.grouping_id()
-    totals = (
-        slots.groupingSets(
-            [["pickup_hour"], ["pickup_day_of_week"], []], "pickup_hour", "pickup_day_of_week"
-        )
-        .agg(
-            level.alias("level"),
-            F.sum("trips").alias("trips"),
-            F.sum("revenue").alias("revenue"),
-        )
-    )
 
-    def busiest(key: str, at_level: int) -> Column:
-        order = F.struct("trips", F.negative(F.coalesce(F.col(key), F.lit(-1))))
-        return F.max_by(key, F.when(F.col("level") == at_level, order))
+    def most_frequent(key: str) -> Column:
+        unknown = F.lit(-1)
+        return F.nullif(F.mode(F.coalesce(key, unknown), deterministic=True), unknown)
 
-    overall = F.col("level") == 3
-    return totals.agg(
+    return df.agg(
         F.lit(taxi_type).alias("taxi_type"),
-        F.coalesce(F.max(F.when(overall, F.col("trips"))), F.lit(0)).alias("total_trips"),
-        F.coalesce(F.max(F.when(overall, F.col("revenue"))), F.lit(0.0)).alias("total_revenue"),
-        busiest("pickup_hour", 1).alias("busiest_hour"),
-        busiest("pickup_day_of_week", 2).alias("busiest_day"),
+        F.count(F.lit(1)).alias("total_trips"),
+        F.coalesce(F.sum("total_amount"), F.lit(0.0)).alias("total_revenue"),
+        most_frequent("pickup_hour").alias("busiest_hour"),
+        most_frequent("pickup_day_of_week").alias("busiest_day"),
     )
 
 
