@@ -1,9 +1,7 @@
 """Writers: table output, and staging of an intermediate result that is read many times."""
 
-import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,23 +29,14 @@ def save_to_parquet(
     df.write.mode(mode).partitionBy(*partition_by).parquet(output_path)
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="fareloom-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. A local-mode session that names
-    none gets a temporary folder; a cluster session that names none is refused.
+    The cluster names it in ``spark.checkpoint.dir``; where that is unset, the session's
+    warehouse folder is taken, which is shared as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -64,3 +53,16 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_folder(df.sparkSession, name)
     save_to_parquet(df, path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table, on whatever filesystem holds it. A missing path is no error."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def drop_staged(staged: DataFrame) -> None:
+    """Delete the table a DataFrame returned by ``stage`` scans."""
+    files = staged.inputFiles()
+    if files:
+        drop_folder(staged.sparkSession, files[0].rsplit("/", 1)[0])

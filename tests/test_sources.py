@@ -35,7 +35,7 @@ from fareloom.sources import (
     stage,
     validate_schema,
 )
-from fareloom.sources.sinks import shared_folder
+from fareloom.sources.sinks import drop_folder, drop_staged, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -138,10 +138,16 @@ class Settings:
 
 def test_the_shared_folder_is_the_one_the_cluster_names():
     assert shared_folder(Settings(spark_checkpoint_dir="hdfs:///shared/", spark_master="yarn")) == "hdfs:///shared"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Settings(spark_master="spark://host:7077"))
-    local = shared_folder(Settings(spark_master="local[2]"))
-    assert Path(local).is_dir() and shared_folder(Settings(spark_master="local[2]")) == local
+    assert shared_folder(Settings(spark_sql_warehouse_dir="file:/warehouse", spark_master="yarn")) == "file:/warehouse"
+
+
+def test_staged_tables_can_be_deleted(spark):
+    staged = stage(spark.range(4))
+    folder = Path(staged.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.is_dir()
+    drop_staged(staged)
+    assert not folder.exists()
+    drop_folder(spark, str(folder))
 
 
 def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
