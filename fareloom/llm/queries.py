@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe
+from fareloom.llm import bpe, oracle, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +16,17 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, digests=True)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record in the archives says."""
+    records = warc.archive_and_read(spark, table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name."""
-    return {f.__name__: f for f in (op2_bpe,)}
+    return {f.__name__: f for f in (op2_bpe, op3_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of those that SQL can express."""
-    return {}
+    return oracle.SQL
