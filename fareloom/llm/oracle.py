@@ -1,5 +1,35 @@
 """SQL over the given tables for the operators that SQL can express."""
 
+OP1_JACCARD_JOIN = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(generate_series(1, len(ws) - 3), i -> array_to_string(ws[i:i + 3], ' ')) END) AS sh
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+"""
+
 OP3_WARC = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages
@@ -14,4 +44,4 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
-SQL = {"op3_warc": OP3_WARC}
+SQL = {"op1_jaccard_join": OP1_JACCARD_JOIN, "op3_warc": OP3_WARC}

@@ -4,12 +4,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe, oracle, warc
+from fareloom.llm import bpe, jaccard_join, oracle, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: four-word shingles, similarity 0.85 or more."""
+    found = jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), width=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded bytes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -24,7 +30,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name."""
-    return {f.__name__: f for f in (op2_bpe, op3_warc)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
