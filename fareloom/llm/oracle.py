@@ -4,11 +4,11 @@ OP1_JACCARD_JOIN = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(
     string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
   FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(generate_series(1, len(ws) - 3), i -> array_to_string(ws[i:i + 3], ' ')) END) AS sh
+    ELSE list_transform(generate_series(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS sh
   FROM w
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
