@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, jaccard_join, oracle, warc
+from fareloom.llm import bpe, jaccard_join, line_dedup, oracle, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,9 +29,17 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup leaves of every document: lines before, lines removed, digest of the text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, percent=90).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name."""
-    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
