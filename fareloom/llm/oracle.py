@@ -44,4 +44,42 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
-SQL = {"op1_jaccard_join": OP1_JACCARD_JOIN, "op3_warc": OP3_WARC}
+OP6_MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS digest
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT source, source_size, 2 * source_size AS cap,
+    [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+  FROM s
+), o AS (
+  SELECT *, row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS k FROM w
+), l AS (
+  SELECT k,
+    (1.5::DOUBLE * (SELECT sum(source_size)::BIGINT FROM s)
+      - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+      / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS level,
+    cap / weight AS ratio
+  FROM o
+), level AS (
+  SELECT min_by(level, k) AS level FROM l WHERE ratio > level OR level = 0
+), t AS (
+  SELECT w.*, CASE WHEN cap <= weight * level THEN cap::DOUBLE ELSE weight * level END AS target FROM w, level
+), p AS (
+  SELECT *, floor(target + 0.5)::BIGINT // greatest(source_size, 1) AS whole,
+    floor(target + 0.5)::BIGINT % greatest(source_size, 1) AS extra
+  FROM t
+), c AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY digest, doc_id NULLS FIRST, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
+  FROM d
+)
+SELECT c.doc_id, c.size, p.source_size, p.target,
+  (p.whole * c.size + greatest(0, least(c.size, p.extra - c.before)))::BIGINT AS taken
+FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source
+"""
+
+SQL = {"op6_mixing": OP6_MIXING, "op1_jaccard_join": OP1_JACCARD_JOIN, "op3_warc": OP3_WARC}
