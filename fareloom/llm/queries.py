@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, jaccard_join, line_dedup, mixing, oracle, warc
+from fareloom.llm import bpe, jaccard_join, line_dedup, mixing, oracle, toxicity, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a model fitted outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document, its source's target and size."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -45,7 +51,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name."""
-    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op6_mixing, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op4_toxicity, op6_mixing, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
