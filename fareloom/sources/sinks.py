@@ -5,6 +5,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def save_to_parquet(
     df: DataFrame,
@@ -48,11 +50,18 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written.
 
     Later passes read only the columns they need, filters reach the files, and losing
-    an executor loses no intermediate data.
+    an executor loses no intermediate data. The shuffle files of the write are deleted
+    as soon as it ends: nothing reads them again.
     """
-    path = new_folder(df.sparkSession, name)
-    save_to_parquet(df, path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        save_to_parquet(df, path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.parquet(path)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
