@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, jaccard_join, line_dedup, mixing, oracle, toxicity, warc
+from fareloom.llm import bpe, jaccard_join, line_dedup, lm, mixing, oracle, quality, toxicity, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,12 +35,23 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("text")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, by a model of trusted positives and unlabelled text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document, its source's target and size."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under smoothed word counts and under the mixture."""
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What line dedup leaves of every document: lines before, lines removed, digest of the text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,7 +62,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name."""
-    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op4_toxicity, op6_mixing, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op4_toxicity, op5_quality, op6_mixing, op7_lm, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
