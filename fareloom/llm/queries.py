@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, jaccard_join, line_dedup, lm, mixing, oracle, quality, toxicity, warc
+from fareloom.llm import bpe, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, toxicity, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of largest inner product with every 20th vector."""
+    return rabitq.nearest(table(spark, sf_dir, "embeddings"), k=20)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What line dedup leaves of every document: lines before, lines removed, digest of the text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,7 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name."""
-    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op4_toxicity, op5_quality, op6_mixing, op7_lm, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op4_toxicity, op5_quality, op6_mixing, op7_lm, op9_rabitq, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
