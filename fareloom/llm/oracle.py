@@ -82,4 +82,18 @@ SELECT c.doc_id, c.size, p.source_size, p.target,
 FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source
 """
 
-SQL = {"op6_mixing": OP6_MIXING, "op1_jaccard_join": OP1_JACCARD_JOIN, "op3_warc": OP3_WARC}
+OP8_HAMMING_SEARCH = """
+WITH c AS (
+  SELECT vec_id, list_transform(embedding, lambda x: (x > 0)::INT) AS bits FROM embeddings WHERE embedding IS NOT NULL
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(generate_series(1, 64), lambda i: (q.bits[i] <> c.bits[i])::INT))::INT AS distance
+  FROM c q JOIN c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank FROM p
+)
+SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
+"""
+
+SQL = {"op8_hamming_search": OP8_HAMMING_SEARCH, "op6_mixing": OP6_MIXING, "op1_jaccard_join": OP1_JACCARD_JOIN, "op3_warc": OP3_WARC}

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, toxicity, warc
+from fareloom.llm import bpe, hamming, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, toxicity, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,13 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 vectors nearest to every 100th one in the Hamming distance of their sign codes."""
+    vectors = table(spark, sf_dir, "embeddings")
+    codes = vectors.select("vec_id", hamming.sign_code(F.col("embedding")).alias("code"))
+    return hamming.top_k(codes, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 vectors of largest inner product with every 20th vector."""
     return rabitq.nearest(table(spark, sf_dir, "embeddings"), k=20)
@@ -67,7 +74,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name."""
-    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op4_toxicity, op5_quality, op6_mixing, op7_lm, op9_rabitq, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op4_toxicity, op5_quality, op6_mixing, op7_lm, op8_hamming_search, op9_rabitq, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
