@@ -106,7 +106,7 @@ def choose_features(found: list[list[list[str]]], y: np.ndarray, most: int) -> d
 def fit(
     texts: list[str | None],
     labels: list[int],
-    most_features: int = 4000,
+    most_features: int = 400,
     steps: int = 300,
     rate: float = 0.1,
     penalty: float = 1e-3,
@@ -153,19 +153,15 @@ def fit(
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, most_documents: int, most_words: int) -> tuple[list, list]:
     """Texts and labels of at most so many labelled documents and words, in the order of a hash."""
-    known = labelled(labels, label, HELD_OUT)
+    # So few ids that a broadcast is bounded whatever the tables' size; no text is shuffled to find them.
+    at = F.xxhash64("doc_id")
+    ids = F.broadcast(labelled(labels, label, HELD_OUT).orderBy(at, "doc_id").limit(most_documents))
     size = F.coalesce(F.length("text"), F.lit(0))
-    picked = (
-        docs.select("doc_id", "text")
-        .join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(most_documents)
-        .withColumn("chars", F.sum(size).over(W.orderBy(F.xxhash64("doc_id"), "doc_id", size).rowsBetween(W.unboundedPreceding, 0)))
-        .where(F.col("chars") <= 6 * most_words)
-        .select("text", "label")
-    )
-    rows = [(r.text, r.label) for r in picked.toLocalIterator()]
-    return [t for t, _ in rows], [y for _, y in rows]
+    until = F.sum(size).over(W.orderBy(at, "doc_id", size).rowsBetween(W.unboundedPreceding, 0))
+    found = docs.select("doc_id", "text").join(ids, "doc_id").dropDuplicates(["doc_id"])
+    picked = found.withColumn("chars", until)
+    rows = picked.where(F.col("chars") <= 6 * most_words).select("text", "label").collect()
+    return [r.text for r in rows], [r.label for r in rows]
 
 
 def train(
