@@ -73,8 +73,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    """Every dealt operator by its registered name."""
-    return {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_warc, op4_toxicity, op5_quality, op6_mixing, op7_lm, op8_hamming_search, op9_rabitq, op10_line_dedup)}
+    """Every dealt operator by its registered name, and the pipeline."""
+    dealt = (
+        op1_jaccard_join,
+        op2_bpe,
+        op3_warc,
+        op4_toxicity,
+        op5_quality,
+        op6_mixing,
+        op7_lm,
+        op8_hamming_search,
+        op9_rabitq,
+        op10_line_dedup,
+    )
+    return {f.__name__: f for f in dealt} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
