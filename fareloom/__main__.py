@@ -1,6 +1,7 @@
 """Batch jobs, for spark-submit or ``python -m fareloom``.
 
-    medallion RAW_DIR OUT_DIR [--drifted]   store the bronze, silver and gold layers
+    medallion RAW_DIR OUT_DIR               store the bronze, silver and gold layers
+        [--drifted] [--pattern FEED=GLOB]... [--partition-by COLUMN]... [--source-files]
     wordcount PATH [-k K]                   show the most frequent words of text files
 """
 
@@ -19,6 +20,9 @@ def main(arguments: list[str] | None = None) -> None:
     layers.add_argument("raw_dir")
     layers.add_argument("out_dir")
     layers.add_argument("--drifted", action="store_true")
+    layers.add_argument("--pattern", action="append", default=[], metavar="FEED=GLOB")
+    layers.add_argument("--partition-by", action="append", default=[], metavar="COLUMN")
+    layers.add_argument("--source-files", action="store_true")
     count = jobs.add_parser("wordcount")
     count.add_argument("path")
     count.add_argument("-k", type=int, default=20)
@@ -26,7 +30,16 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = get_spark(f"fareloom-{options.job}")
     if options.job == "medallion":
-        medallion.run(spark, options.raw_dir, options.out_dir, drifted=options.drifted)
+        patterns = medallion.FEED_PATTERNS | dict(p.split("=", 1) for p in options.pattern)
+        medallion.run(
+            spark,
+            options.raw_dir,
+            options.out_dir,
+            patterns,
+            options.drifted,
+            options.partition_by,
+            options.source_files,
+        )
     else:
         top_words(read_text_lines(spark, options.path), options.k).show(options.k, truncate=False)
 

@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Output names of the averaged trip columns.
+# Output names of the averaged trip columns, in the order of the result. The names of
+# counts, sums and keys in the aggregates below are fixed values as well.
 TIME_AVERAGES = {
     "avg_trip_distance": "trip_distance",
     "avg_trip_duration": "trip_duration_minutes",
@@ -13,7 +14,15 @@ TIME_AVERAGES = {
     "avg_total_amount": "total_amount",
     "avg_passenger_count": "passenger_count",
 }
-ZONE_AVERAGES = TIME_AVERAGES | {"avg_tip_amount": "tip_amount", "avg_tip_rate": "tip_rate"}
+ZONE_AVERAGES = {
+    "avg_trip_distance": "trip_distance",
+    "avg_trip_duration": "trip_duration_minutes",
+    "avg_fare_amount": "fare_amount",
+    "avg_total_amount": "total_amount",
+    "avg_tip_amount": "tip_amount",
+    "avg_tip_rate": "tip_rate",
+    "avg_passenger_count": "passenger_count",
+}
 KPI_AVERAGES = {
     "avg_trip_distance": "trip_distance",
     "avg_trip_duration": "trip_duration_minutes",

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.functions.names import quoted
 from fareloom.functions.rules import failed_rules, keep_row, trip_rules
 from fareloom.functions.trip_columns import percent_of
 from fareloom.sources.schemas import LOAD_COLUMNS
@@ -49,17 +50,22 @@ def kept_and_removed(df: DataFrame, keep: Column) -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame, ignore: Sequence[str] = LOAD_COLUMNS) -> DataFrame:
-    """One row per distinct value of all columns but ``ignore``, which keep their smallest value.
+    """One row per distinct value of all columns but ``ignore``, which are those of one of the copies.
 
-    Grouping on the plain columns combines copies before the shuffle, so a row that is
-    repeated very often sends one record per task. Filters on the compared columns
-    still move below the grouping, down to the scan. Without a source file the grouping
-    is by hash; the smallest of a string makes Spark sort instead.
+    That copy is the one smallest in the ignored columns, taken together in table order. Grouping
+    on the plain columns combines copies before the shuffle, so a row that is repeated very often
+    sends one record per task. Filters on the compared columns still move below the grouping,
+    down to the scan. With one ignored column that is no string the grouping is by hash; otherwise
+    Spark sorts the rows of each task.
     """
     loaded = [c for c in df.columns if c in ignore]
     compared = [c for c in df.columns if c not in ignore]
     if not loaded:
         return df.dropDuplicates()
-    return (
-        df.groupBy(*compared).agg(*(F.min(c).alias(c) for c in loaded)).select(*df.columns)
+    if len(loaded) == 1:
+        least = df.groupBy(*map(quoted, compared)).agg(F.min(quoted(loaded[0])).alias(loaded[0]))
+        return least.select(*map(quoted, df.columns))
+    copy = F.min(F.struct(*map(quoted, loaded))).alias("__copy")
+    return df.groupBy(*map(quoted, compared)).agg(copy).select(
+        *(F.col("__copy").getField(c).alias(c) if c in loaded else quoted(c) for c in df.columns)
     )

@@ -59,21 +59,20 @@ def fit_bounds(
     fit = {"iqr": _iqr, "zscore": _zscore}.get(method.lower())
     if fit is None:
         raise ValueError(f"unknown outlier method {method!r}; use 'iqr' or 'zscore'")
-    rows = df.count()
     if not sequential:
-        return fit(df, columns, factor, accuracy, rows)
+        return fit(df, columns, factor, accuracy)
     bounds: list[Bounds] = []
     for column in columns:
-        bounds += fit(df.filter(within(bounds)), [column], factor, accuracy, rows)
+        bounds += fit(df.filter(within(bounds)), [column], factor, accuracy)
     return bounds
 
 
 def _iqr(
-    df: DataFrame, columns: Sequence[str], factor: float | None, accuracy: int | None, rows: int
+    df: DataFrame, columns: Sequence[str], factor: float | None, accuracy: int | None
 ) -> list[Bounds]:
     factor = IQR_FACTOR if factor is None else factor
     if accuracy is None:
-        quartiles = exact_quantiles(df, {c: (0.25, 0.75) for c in columns}, at_most=rows)
+        quartiles = exact_quantiles(df, {c: (0.25, 0.75) for c in columns})
     else:
         quartiles = (
             df.agg(*(F.percentile_approx(c, [0.25, 0.75], accuracy).alias(c) for c in columns))
@@ -92,7 +91,7 @@ def _iqr(
 
 
 def _zscore(
-    df: DataFrame, columns: Sequence[str], factor: float | None, accuracy: int | None, rows: int
+    df: DataFrame, columns: Sequence[str], factor: float | None, accuracy: int | None
 ) -> list[Bounds]:
     factor = ZSCORE_FACTOR if factor is None else factor
     moments = df.agg(
@@ -128,8 +127,9 @@ def remove_outliers(
 ) -> DataFrame:
     """Rows inside the bounds of every column; a NULL in one of them drops the row.
 
-    The input is written once to the shared folder and examined there. Pass
-    ``staged=True`` if it already is a stored table.
+    The input is written once to the shared folder and examined there; the result reads it,
+    so whoever stores the result has to delete it. Pass ``staged=True`` if the input already
+    is a stored table.
     """
     table = df if staged else stage(df, "outlier_input")
     return table.filter(within(fit_bounds(table, columns, method, factor, sequential, accuracy)))

@@ -6,14 +6,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.functions.names import quoted
 from fareloom.functions.trip_columns import percent_of
 from fareloom.sources.schemas import LOAD_COLUMNS
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def null_profile(df: DataFrame) -> DataFrame:
     """Per column: column_name, null_count, null_percentage. One aggregate over the input."""
     total = F.count(F.lit(1))
@@ -22,8 +19,8 @@ def null_profile(df: DataFrame) -> DataFrame:
             *(
                 F.struct(
                     F.lit(c).alias("column_name"),
-                    F.count_if(_quoted(c).isNull()).alias("null_count"),
-                    percent_of(F.count_if(_quoted(c).isNull()), total).alias("null_percentage"),
+                    F.count_if(quoted(c).isNull()).alias("null_count"),
+                    percent_of(F.count_if(quoted(c).isNull()), total).alias("null_percentage"),
                 )
                 for c in df.columns
             )
@@ -38,9 +35,11 @@ def null_summary(df: DataFrame) -> DataFrame:
 
 
 def _copies(df: DataFrame, ignore: Sequence[str]) -> DataFrame:
-    """Distinct rows with their number of copies in ``__copies``."""
-    return df.groupBy(*(_quoted(c) for c in df.columns if c not in ignore)).agg(
-        F.count(F.lit(1)).alias("__copies")
+    """Distinct rows with their number of copies in ``__copies``, and the NULLs of ignored columns."""
+    ignored = [c for c in df.columns if c in ignore]
+    return df.groupBy(*(quoted(c) for c in df.columns if c not in ignore)).agg(
+        F.count(F.lit(1)).alias("__copies"),
+        *(F.count_if(quoted(c).isNull()).alias(f"__nulls_{i}") for i, c in enumerate(ignored)),
     )
 
 
@@ -67,10 +66,11 @@ def quality_report(df: DataFrame, ignore: Sequence[str] = LOAD_COLUMNS) -> DataF
     """Row, column, duplicate and NULL figures in one table: scope, metric, value.
 
     ``scope`` is ``table`` or ``column:<name>``. Distinct rows carry their number of copies,
-    so the NULL counts come from the same single scan as the duplicate count.
+    so the NULL counts come from the same single scan as the duplicate count. Columns to
+    ``ignore`` are left out of the comparison only.
     """
     copies = _copies(df, ignore)
-    compared = [c for c in df.columns if c not in ignore]
+    ignored = [c for c in df.columns if c in ignore]
     total = F.coalesce(F.sum("__copies"), F.lit(0))
     duplicates = total - F.count(F.lit(1))
 
@@ -83,12 +83,15 @@ def quality_report(df: DataFrame, ignore: Sequence[str] = LOAD_COLUMNS) -> DataF
 
     rows = [
         row("table", "total_rows", total),
-        row("table", "total_columns", F.lit(len(compared))),
+        row("table", "total_columns", F.lit(len(df.columns))),
         row("table", "duplicate_count", duplicates),
         row("table", "duplicate_percentage", percent_of(duplicates, total)),
     ]
-    for c in compared:
-        nulls = F.coalesce(F.sum(F.when(_quoted(c).isNull(), F.col("__copies"))), F.lit(0))
+    for c in df.columns:
+        if c in ignored:
+            nulls = F.coalesce(F.sum(f"__nulls_{ignored.index(c)}"), F.lit(0))
+        else:
+            nulls = F.coalesce(F.sum(F.when(quoted(c).isNull(), F.col("__copies"))), F.lit(0))
         rows += [
             row(f"column:{c}", "null_count", nulls),
             row(f"column:{c}", "null_percentage", percent_of(nulls, total)),

@@ -2,8 +2,7 @@
 
 A quantile is the smallest value whose rank is at least ``ceil(p * n)``, n counting
 the non-NULL values. Approximate digests answer that with an error that grows with n,
-and one precise enough to be exact is as large as the data. That is fine for a table known
-to be small, and is what happens there. Otherwise a small sketch gives a first
+and one precise enough to be exact is as large as the data. Here a small sketch gives a first
 bracket around each quantile and the bracket is then narrowed: every round
 counts the rows in evenly spaced buckets inside the bracket, picks the bucket that holds
 the wanted rank and continues with that bucket's smallest and largest value, until
@@ -26,10 +25,6 @@ SKETCH_SIZE = 2048
 SLACK = 0.002
 MERGE_GROUPS = 256
 
-# A digest loses nothing while its accuracy is more than twice the number of rows.
-SMALL_TABLE_ROWS = 400_000
-LOSSLESS_ACCURACY = 1_000_000
-
 
 @dataclass
 class _Target:
@@ -68,18 +63,14 @@ class _Target:
 
 
 def exact_quantiles(
-    df: DataFrame, targets: Mapping[str, Sequence[float]], at_most: int | None = None
+    df: DataFrame, targets: Mapping[str, Sequence[float]]
 ) -> dict[str, list[float | None]]:
     """Quantiles of numeric columns, compared as doubles; None for a column without values.
 
     ``targets`` maps a column to the probabilities wanted. All columns share each pass.
-    The input is scanned a few times, so hand in a stored table rather than a long plan.
-    ``at_most`` is a known limit to the number of rows; without it the rows are counted.
+    NaN is larger than any other value. The input is scanned a few times, so hand in a
+    stored table rather than a long plan. Tables of any size go the same way.
     """
-    if at_most is None:
-        at_most = df.count()
-    if at_most <= SMALL_TABLE_ROWS:
-        return _from_lossless_digest(df, targets)
     searches = _first_brackets(df, targets)
     while open_ := [t for group in searches.values() for t in group if not t.found]:
         columns = list(dict.fromkeys(t.column for t in open_))
@@ -98,21 +89,6 @@ def exact_quantiles(
     }
 
 
-def _from_lossless_digest(
-    df: DataFrame, targets: Mapping[str, Sequence[float]]
-) -> dict[str, list[float | None]]:
-    digests = df.agg(
-        *(
-            F.percentile_approx(F.col(c).cast("double"), list(p), LOSSLESS_ACCURACY).alias(f"p{i}")
-            for i, (c, p) in enumerate(targets.items())
-        )
-    ).first()
-    return {
-        c: digests[f"p{i}"] or [None] * len(probabilities)
-        for i, (c, probabilities) in enumerate(targets.items())
-    }
-
-
 def _first_brackets(df: DataFrame, targets: Mapping[str, Sequence[float]]) -> dict[str, list[_Target]]:
     """A guess around each quantile from mergeable sketches of bounded size.
 

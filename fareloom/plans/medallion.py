@@ -4,6 +4,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareloom.operators.aggregates import aggregate_by_time, aggregate_by_zone
 from fareloom.operators.cleaning import clean_trips, drop_duplicates
@@ -16,15 +17,15 @@ from fareloom.sources.readers import (
     load_from_parquet,
     read_deliveries,
     read_lookup_csv,
-    read_parquet,
+    read_merged,
 )
-from fareloom.sources.schemas import FEED_SCHEMAS, ZONE_SCHEMA
-from fareloom.sources.sinks import save_to_parquet
+from fareloom.sources.schemas import FEED_SCHEMAS, SOURCE_FILE, ZONE_SCHEMA
+from fareloom.sources.sinks import drop_staged, save_to_parquet, shared_folder, stage
 
-# Where deliveries are found below the raw folder.
+# Where deliveries are found below the raw folder by default: those of every year and month.
 FEED_PATTERNS = {
-    "yellow": "taxi/yellow_tripdata_2025-*.parquet",
-    "green": "taxi/green_tripdata_2025-*.parquet",
+    "yellow": "taxi/yellow_tripdata_*.parquet",
+    "green": "taxi/green_tripdata_*.parquet",
 }
 ZONE_LOOKUP = "lookup/taxi_zone_lookup.csv"
 
@@ -53,25 +54,39 @@ def raw_feeds(
     raw_dir: str,
     patterns: Mapping[str, str] = FEED_PATTERNS,
     drifted: bool = False,
+    source_files: bool = False,
 ) -> dict[str, DataFrame]:
     """The feeds that have deliveries matching their pattern, each as one table.
 
-    With ``drifted`` every file is taken as a delivery of its own whose stored types may
-    differ, and is cast to the feed's declared schema.
+    A feed has the columns of all its deliveries; a delivery without one has NULLs there, and
+    deliveries that store one in different types are an error. With ``drifted`` types may
+    differ, and everything is cast to the feed's declared schema. ``source_files`` adds the
+    file that each row comes from.
     """
+    name = SOURCE_FILE if source_files else None
     feeds = {}
     for feed, pattern in patterns.items():
-        files = get_file_paths(spark, raw_dir, pattern)
-        if files and drifted:
-            feeds[feed] = read_deliveries(spark, files, FEED_SCHEMAS[feed])
-        elif files:
-            feeds[feed] = read_parquet(spark, f"{raw_dir}/{pattern}")
+        if drifted:
+            files = get_file_paths(spark, raw_dir, pattern)
+            delivered = read_deliveries(spark, files, FEED_SCHEMAS[feed], name) if files else None
+        else:
+            delivered = read_merged(spark, f"{raw_dir}/{pattern}", name)
+        if delivered is not None:
+            feeds[feed] = delivered
     return feeds
 
 
 def ingest(raw: DataFrame, feed: str) -> DataFrame:
-    """A delivered feed under common column names, with its lineage columns."""
-    return add_metadata_columns(standardize_column_names(raw, feed), feed)
+    """A delivered feed under common column names, with its lineage columns.
+
+    A feed that was read with its source files keeps them, after the load time.
+    """
+    named = standardize_column_names(raw, feed)
+    if SOURCE_FILE not in raw.columns:
+        return add_metadata_columns(named, feed)
+    plain = [c for c in named.columns if c != SOURCE_FILE]
+    tagged = add_metadata_columns(named, feed, F.col(SOURCE_FILE))
+    return tagged.select(*plain, *[c for c in tagged.columns if c not in named.columns], SOURCE_FILE)
 
 
 def prepare(bronze: DataFrame) -> DataFrame:
@@ -99,10 +114,15 @@ def build_bronze(
 def build_silver(
     spark: SparkSession, layout: Layout, feeds: list[str], partition_by: Sequence[str] = ()
 ) -> None:
-    """Refine the stored bronze feeds, optionally into one folder per year and month, say."""
+    """Refine the stored bronze feeds, optionally into one folder per year and month, say.
+
+    The prepared trips that outliers are looked for in are deleted once silver is stored.
+    """
     for feed in feeds:
-        trips = refine(load_from_parquet(spark, layout.bronze(feed)))
+        prepared = stage(prepare(load_from_parquet(spark, layout.bronze(feed))), "prepared")
+        trips = remove_outliers(prepared, staged=True)
         save_to_parquet(trips, layout.silver(feed), partition_by=partition_by)
+        drop_staged(prepared)
 
 
 def combined(spark: SparkSession, layout: Layout, feeds: list[str]) -> DataFrame:
@@ -125,15 +145,21 @@ def run(
     out_dir: str,
     patterns: Mapping[str, str] = FEED_PATTERNS,
     drifted: bool = False,
+    partition_by: Sequence[str] = (),
+    source_files: bool = False,
 ) -> Layout:
-    """From delivered files and the zone lookup to all three stored layers."""
+    """From delivered files and the zone lookup to all three stored layers.
+
+    ``partition_by`` lays silver out in folders; ``source_files`` keeps the file of every row.
+    """
     layout = Layout(out_dir)
+    shared_folder(spark)
     size_shuffles(spark, raw_dir)
-    feeds = raw_feeds(spark, raw_dir, patterns, drifted)
+    feeds = raw_feeds(spark, raw_dir, patterns, drifted, source_files)
     if not feeds:
         raise ValueError(f"no deliveries found in {raw_dir}")
     zones = read_lookup_csv(spark, f"{raw_dir}/{ZONE_LOOKUP}", ZONE_SCHEMA)
     build_bronze(layout, feeds, zones)
-    build_silver(spark, layout, list(feeds))
+    build_silver(spark, layout, list(feeds), partition_by)
     build_gold(spark, layout, list(feeds))
     return layout

@@ -175,9 +175,11 @@ def _null_profile(load_columns: tuple[str, ...]) -> str:
                 f" round((count(*) - count({column})) / count(*) * 100 + 1e-9, 4) AS null_percentage"
                 f" FROM {_FEED_TABLES[feed]}"
             )
-        # The load time is never NULL.
         rows += [
-            f"SELECT '{feed}', '{column}', 0, 0.0" for column in load_columns
+            f"SELECT '{feed}', '{column}', count(*) - count({column}),"
+            f" round((count(*) - count({column})) / count(*) * 100 + 1e-9, 4)"
+            f" FROM (SELECT *, now() AS {column} FROM {_FEED_TABLES[feed]})"
+            for column in load_columns
         ]
     return _union(rows)
 
@@ -190,7 +192,8 @@ def _quality_report() -> str:
         total = f"(SELECT count(*) FROM {table})"
         figures = {
             "total_rows": total,
-            "total_columns": str(len(_FEED_COLUMNS[feed])),
+            # The feed's columns and the load time.
+            "total_columns": str(len(_FEED_COLUMNS[feed]) + 1),
             "duplicate_count": f"{total} - {distinct}",
             "duplicate_percentage": f"round(({total} - {distinct}) / {total} * 100 + 1e-9, 4)",
         }
@@ -198,18 +201,43 @@ def _quality_report() -> str:
             f"SELECT '{feed}' AS taxi_type, 'table' AS scope, '{metric}' AS metric, ({value})::DOUBLE AS value"
             for metric, value in figures.items()
         ]
-        for column in _FEED_COLUMNS[feed]:
+        loaded = f"(SELECT *, now() AS processed_timestamp FROM {table})"
+        for column in [*_FEED_COLUMNS[feed], "processed_timestamp"]:
             nulls = f"count(*) - count({column})"
             for metric, value in (
                 ("null_count", nulls),
                 ("null_percentage", f"round(({nulls}) / count(*) * 100 + 1e-9, 4)"),
             ):
                 rows.append(
-                    f"SELECT '{feed}', 'column:{column}', '{metric}', ({value})::DOUBLE FROM {table}"
+                    f"SELECT '{feed}', 'column:{column}', '{metric}', ({value})::DOUBLE FROM {loaded}"
                 )
     return _union(rows)
 
 
+def _zone_quality() -> str:
+    zones = f"({STEPS['zones']})"
+    total, distinct = f"(SELECT count(*) FROM {zones})", f"(SELECT count(*) FROM (SELECT DISTINCT * FROM {zones}))"
+    columns = ["LocationID", "Borough", "Zone", "service_zone"]
+    figures = {
+        "total_rows": total,
+        "total_columns": str(len(columns)),
+        "duplicate_count": f"{total} - {distinct}",
+        "duplicate_percentage": f"round(({total} - {distinct}) / {total} * 100 + 1e-9, 4)",
+    }
+    rows = [
+        f"SELECT 'table' AS scope, '{metric}' AS metric, ({value})::DOUBLE AS value"
+        for metric, value in figures.items()
+    ]
+    for column in columns:
+        nulls = f"count(*) - count({column})"
+        rows.append(f"SELECT 'column:{column}', 'null_count', ({nulls})::DOUBLE FROM {zones}")
+        rows.append(
+            f"SELECT 'column:{column}', 'null_percentage', round(({nulls}) / count(*) * 100 + 1e-9, 4)::DOUBLE FROM {zones}"
+        )
+    return _union(rows)
+
+
+# The reported checks and their limits, and the columns described and summarised.
 _CHECKS = {
     "negative_distance": "trip_distance < 0",
     "negative_fare": "fare_amount < 0",
@@ -372,11 +400,41 @@ def oracle_sql() -> dict[str, str]:
         "source_file_rows": _from(
             "bronze", "SELECT taxi_type AS folder, count(*) AS n_rows FROM bronze GROUP BY taxi_type"
         ),
-        # 18 shared columns, the feed and the load time, and two of the feed's own.
+        # The feed's columns and the load time.
         "table_shape": _from(
             "bronze",
-            "SELECT taxi_type, count(*) AS total_rows, 22 AS total_columns FROM bronze GROUP BY taxi_type",
+            _union(
+                [
+                    f"SELECT '{feed}' AS taxi_type, count(*) AS total_rows,"
+                    f" {len(_FEED_COLUMNS[feed]) + 1} AS total_columns FROM {_FEED_TABLES[feed]}"
+                    for feed in FEEDS
+                ]
+            ),
         ),
+        "merged_deliveries": """
+            SELECT * REPLACE (CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice) FROM orders""",
+        "dedup_lineage": """
+            SELECT l_orderkey, l_linenumber, l_quantity, unnest.t AS processed_timestamp, unnest.f AS source_file
+            FROM (
+                SELECT l_orderkey, l_linenumber, l_quantity, unnest(
+                    CASE WHEN l_orderkey % 2 = 0 THEN [{'t': 86400::BIGINT, 'f': 'a'}]
+                    ELSE [{'t': 86400::BIGINT, 'f': 'b'}] END) AS unnest
+                FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_quantity FROM lineitem))""",
+        "nan_quantiles": """
+            WITH p AS (
+                SELECT CASE WHEN l_partkey % 7 = 0 THEN 'nan'::DOUBLE ELSE l_extendedprice END AS price
+                FROM lineitem WHERE l_partkey % 11 <> 0
+            ), r AS (
+                SELECT price, row_number() OVER (ORDER BY price) AS place, count(*) OVER () AS n FROM p
+            )
+            SELECT q::DOUBLE AS p, isnan(price) AS is_nan, CASE WHEN NOT isnan(price) THEN price END AS value
+            FROM r, (SELECT unnest([0.1::DOUBLE, 0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE, 0.95::DOUBLE]) AS q)
+            WHERE place = ceil(q * n)::BIGINT""",
+        "zone_schema": """
+            SELECT * FROM (VALUES ('LocationID', 'ok', 'int', 'int'), ('Borough', 'ok', 'string', 'string'),
+                ('Zone', 'ok', 'string', 'string'), ('service_zone', 'ok', 'string', 'string'))
+            AS report(field, status, expected, actual)""",
+        "zone_quality": _zone_quality(),
         "describe_numeric": _from(
             "bronze",
             _union(
@@ -541,7 +599,8 @@ def oracle_sql() -> dict[str, str]:
                     f" round(stddev_samp({c}) + 1e-9, 4) AS stddev, round(min({c})::DOUBLE + 1e-9, 4) AS min,"
                     f" round(max({c})::DOUBLE + 1e-9, 4) AS max,"
                     f" round(quantile_disc({c}, 0.5)::DOUBLE + 1e-9, 4) AS median"
-                    f" FROM silver GROUP BY taxi_type"
+                    f" FROM (SELECT * FROM silver UNION ALL SELECT * REPLACE ('combined' AS taxi_type) FROM silver)"
+                    f" GROUP BY taxi_type"
                     for c in _SUMMARISED
                 ]
             ),

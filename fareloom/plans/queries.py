@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from fareloom.operators import aggregates, cleaning, feeds, outliers, quality, statistics, text
 from fareloom.operators.features import add_derived_features
+from fareloom.operators.quantiles import exact_quantiles
 from fareloom.operators.ratios import hit_rate, inside_circle
 from fareloom.plans import medallion, sample_layers, sample_trips
 from fareloom.plans.sample_trips import FEEDS
 from fareloom.session import size_shuffles
 from fareloom.sources import readers
 from fareloom.sources.schema_checks import conform, validate_schema
-from fareloom.sources.schemas import FEED_SCHEMAS, PROCESSED_AT, ZONE_SCHEMA, declared
+from fareloom.sources.schemas import FEED_SCHEMAS, PROCESSED_AT, SOURCE_FILE, ZONE_SCHEMA, declared
 from fareloom.sources.sinks import new_folder, save_to_parquet, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,8 +138,12 @@ def summary_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _means_and_revenue(reduce(DataFrame.unionByName, totals))
 
 
-def summary_statistics(df: DataFrame) -> DataFrame:
-    return rounded(statistics.summary_statistics(df), "mean", "stddev", "min", "max", "median")
+def summary_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column statistics of each feed and of both together."""
+    tables = {feed: sample_layers.silver_feed(spark, sf_dir, feed) for feed in FEEDS}
+    tables["combined"] = _silver(spark, sf_dir)
+    reports = (statistics.summary_statistics(df).withColumn("taxi_type", F.lit(name)) for name, df in tables.items())
+    return rounded(reduce(DataFrame.unionByName, reports), "mean", "stddev", "min", "max", "median")
 
 
 def _stored_layers(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFrame]:
@@ -186,7 +191,7 @@ def drifted_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     finished = orders.filter("o_orderstatus = 'F'").withColumn(
         "o_custkey", F.col("o_custkey").cast("double")
     )
-    others = orders.filter("o_orderstatus <> 'F'").drop("o_totalprice").withColumn(
+    others = orders.filter("NOT (o_orderstatus <=> 'F')").drop("o_totalprice").withColumn(
         "o_custkey", F.col("o_custkey").cast("int")
     )
     paths = []
@@ -196,6 +201,47 @@ def drifted_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_deliveries(spark, paths, DECLARED_ORDER)
 
 
+def merged_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders delivered in two years, one a column short, as the layers read them by default."""
+    orders = _table(spark, sf_dir, "orders")
+    folder = new_folder(spark, "raw")
+    even = F.col("o_orderkey") % 2 == 0
+    save_to_parquet(orders.filter(even), f"{folder}/orders_2024-12.parquet")
+    save_to_parquet(orders.filter(~even).drop("o_totalprice"), f"{folder}/orders_2025-01.parquet")
+    return medallion.raw_feeds(spark, folder, {"orders": "orders_*.parquet"})["orders"].select(*orders.columns)
+
+
+def dedup_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items loaded twice from two files: each kept row has the lineage of one of its copies."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    late = (F.col("l_orderkey") % 2).cast("int")
+    loads = (
+        lines.select("*", F.timestamp_seconds(F.lit(86400) * (late + 1)).alias(PROCESSED_AT), F.lit("a").alias(SOURCE_FILE)),
+        lines.select("*", F.timestamp_seconds(F.lit(86400) * (2 - late)).alias(PROCESSED_AT), F.lit("b").alias(SOURCE_FILE)),
+    )
+    kept = cleaning.drop_duplicates(reduce(DataFrame.unionByName, loads))
+    return kept.withColumn(PROCESSED_AT, F.unix_timestamp(PROCESSED_AT))
+
+
+def nan_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of a price that is NaN in a seventh and NULL in an eleventh of the rows."""
+    key = F.col("l_partkey")
+    price = F.when(key % 11 == 0, None).when(key % 7 == 0, float("nan")).otherwise(F.col("l_extendedprice"))
+    points = [0.1, 0.25, 0.5, 0.75, 0.95]
+    found = exact_quantiles(_table(spark, sf_dir, "lineitem").select(price.alias("price")), {"price": points})["price"]
+    rows = [(p, v != v, None if v != v else v) for p, v in zip(points, found, strict=True) if v is not None]
+    return spark.createDataFrame(rows, "p double, is_nan boolean, value double")
+
+
+def zone_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone lookup against its declared schema."""
+    return validate_schema(_zones(spark, sf_dir), ZONE_SCHEMA)
+
+
+def zone_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(quality.quality_report(_zones(spark, sf_dir)), "value")
+
+
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(_table(spark, sf_dir, "orders"), "orders")
 
@@ -308,8 +354,11 @@ def _registered() -> dict[str, Query]:
         "partitioned_roundtrip": partitioned_roundtrip,
         "append_roundtrip": append_roundtrip,
         "drifted_deliveries": drifted_deliveries,
+        "merged_deliveries": merged_deliveries,
         "enforced_schema": enforced_schema,
         "schema_comparison": schema_comparison,
+        "zone_schema": zone_schema,
+        "zone_quality": zone_quality,
         # bronze
         "standardized_feed": standardized_feed,
         "source_file_rows": source_file_rows,
@@ -333,6 +382,8 @@ def _registered() -> dict[str, Query]:
         "invalid_value_checks": _per_feed(_bronze, quality.invalid_values),
         # silver
         "dedup_rows": _trips(_bronze, cleaning.drop_duplicates),
+        "dedup_lineage": dedup_lineage,
+        "nan_quantiles": nan_quantiles,
         "clean_rows": _trips(_bronze, cleaning.clean_trips),
         "clean_audit": _per_feed(
             _bronze, lambda df: rounded(cleaning.cleaning_audit(df), "pct_removed")
@@ -367,7 +418,7 @@ def _registered() -> dict[str, Query]:
         "fleet_kpis": lambda spark, sf_dir: rounded(
             _means_and_revenue(aggregates.fleet_kpis(_silver(spark, sf_dir))), "revenue_per_minute"
         ),
-        "summary_statistics": _per_feed(silver_feed, summary_statistics),
+        "summary_statistics": summary_statistics,
         "summary_totals": summary_totals,
         "busiest_hour": _on_silver(lambda df: statistics.busiest(df, "pickup_hour")),
         "busiest_day": _on_silver(lambda df: statistics.busiest(df, "pickup_day_of_week")),

@@ -1,13 +1,13 @@
 """Readers. Paths and globs go to Spark, so any filesystem Spark can list will do."""
 
-import json
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fareloom.sources.schema_checks import conform
 
@@ -53,25 +53,67 @@ def load_from_parquet(spark: SparkSession, input_path: str) -> DataFrame:
     return read_parquet(spark, input_path)
 
 
-def read_deliveries(spark: SparkSession, paths: Iterable[str], schema: StructType) -> DataFrame:
+def _with_file(scan: DataFrame, source_file: str | None) -> DataFrame:
+    """A scan of files, with the path of each row's file if a column is named for it."""
+    return scan.withColumn(source_file, F.col("_metadata.file_path")) if source_file else scan
+
+
+def read_merged(spark: SparkSession, path: str, source_file: str | None = None) -> DataFrame | None:
+    """A scan with the columns of all files, from their footers read in one distributed job.
+
+    ``source_file`` names a column for the file each row comes from. None if nothing matches ``path``; files that store a column in different types are an error.
+    """
+    try:
+        return _with_file(spark.read.option("mergeSchema", True).parquet(path), source_file)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _shared_footers(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
+    """The paths in groups whose footers merge, each with its merged schema.
+
+    All footers are merged in one distributed job; only where types conflict is the list halved.
+    Deliveries that drifted at some time, in the order of their names, need a few jobs.
+    """
+    try:
+        return [(spark.read.option("mergeSchema", True).parquet(*paths).schema, paths)]
+    except (PySparkException, Py4JJavaError) as error:
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    half = len(paths) // 2
+    groups: list[tuple[StructType, list[str]]] = []
+    for schema, found in (*_shared_footers(spark, paths[:half]), *_shared_footers(spark, paths[half:])):
+        for k, (other, members) in enumerate(groups):
+            types = {f.name: f.dataType for f in other}
+            if all(types.get(f.name, f.dataType) == f.dataType for f in schema):
+                more = [f for f in schema if f.name not in types]
+                groups[k] = (StructType([*other, *more]), [*members, *found])
+                break
+        else:
+            groups.append((schema, found))
+    return groups
+
+
+def read_deliveries(
+    spark: SparkSession, paths: Iterable[str], schema: StructType, source_file: str | None = None
+) -> DataFrame:
     """Scan deliveries whose stored types drifted, as one table of the declared ``schema``.
 
-    Each path is one delivery (a month, say) written with a single schema. Deliveries
-    that share a stored schema are read by one scan; each scan is cast to ``schema``,
-    absent columns become NULL and undeclared ones are dropped.
+    Each path is one delivery (a month, say). Deliveries whose stored schemas agree in
+    the types of their columns are read by one scan; each scan is cast to ``schema``,
+    absent columns become NULL and undeclared ones are dropped. ``source_file`` names a
+    column for the file each row comes from.
     """
-    by_footer: dict[str, list[str]] = {}
-    for path in paths:
-        by_footer.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    if not by_footer:
+    paths = sorted(paths)
+    if source_file:
+        schema = StructType([*schema, StructField(source_file, StringType())])
+    if not paths:
         return spark.createDataFrame([], schema)
     scans = [
-        conform(
-            spark.read.schema(StructType.fromJson(json.loads(footer))).parquet(*group),
-            schema,
-            require_all=False,
-        )
-        for footer, group in by_footer.items()
+        conform(_with_file(spark.read.schema(stored).parquet(*group), source_file), schema, require_all=False)
+        for stored, group in _shared_footers(spark, paths)
     ]
     return reduce(DataFrame.unionByName, scans)
 

@@ -4,6 +4,9 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fareloom.functions.names import quoted
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -22,10 +25,14 @@ def save_to_parquet(
     keys first, so a key gets a few well-sized files instead of one per task, and
     adaptive execution splits a key that holds a large share of the rows. For a handful
     of keys ``rebalance=False`` saves that shuffle.
-    ``files`` shuffles to a fixed number of output files and is meant for small results.
+    ``files`` deals the rows out evenly to that many tasks, each of which writes a file. With
+    ``partition_by`` a task takes a range of the keys, and a key with a large share of the
+    rows several tasks, so there are about as many files as tasks and keys together.
     """
-    if files is not None:
-        df = df.repartition(files, *partition_by)
+    if files is not None and partition_by:
+        df = df.repartitionByRange(files, *partition_by, F.xxhash64(*(quoted(c) for c in df.columns)))
+    elif files is not None:
+        df = df.repartition(files)
     elif partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).partitionBy(*partition_by).parquet(output_path)

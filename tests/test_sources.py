@@ -14,6 +14,7 @@ from fareloom.operators.feeds import (
     combine_feeds,
     standardize_column_names,
 )
+from fareloom.plans import medallion
 from fareloom.plans.medallion import Layout, build_bronze, build_gold, build_silver, run
 from fareloom.plans.sample_trips import FEEDS, as_feed, delivered_trips, zone_lookup
 from fareloom.sources import (
@@ -157,10 +158,8 @@ def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
         monkeypatch.setattr(session, "PARTITION_BYTES", 100_000)
         grown = session.size_shuffles(spark, SF_DIR)
         assert int(before) < grown == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        monkeypatch.setattr(session, "MOST_PARTITIONS", 7)
-        assert session.size_shuffles(spark, SF_DIR) == grown
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-        assert session.size_shuffles(spark, SF_DIR) == 7
+        assert session.size_shuffles(spark, SF_DIR, partition_bytes=10**12) == grown
+        assert session.size_shuffles(spark, SF_DIR, partition_bytes=1000) > 100 * grown // 2
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -281,6 +280,65 @@ def test_layers_from_delivered_files(spark, tmp_path):
     assert not (tmp_path / "out/silver/green_taxi").exists()
 
 
+def raw_files(spark, tmp_path):
+    """A raw folder of two years' deliveries, the first without a column, and the zone lookup."""
+    trips = stage(delivered_trips(spark, SF_DIR))
+    yellow, raw = as_feed(trips, "yellow"), tmp_path / "raw"
+    half = F.col("VendorID") == 1
+    save_to_parquet(yellow.filter(half).drop("Airport_fee"), f"{raw}/taxi/yellow_tripdata_2019-12.parquet")
+    save_to_parquet(yellow.filter(~half), f"{raw}/taxi/yellow_tripdata_2025-01.parquet")
+    zone_lookup(spark, SF_DIR).coalesce(1).write.option("header", True).csv(f"{raw}/lookup/taxi_zone_lookup.csv")
+    return yellow, raw
+
+
+def test_deliveries_of_all_years_and_columns_with_their_files(spark, tmp_path):
+    yellow, raw = raw_files(spark, tmp_path)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p for p in folder.glob("fareloom-*/prepared*")}
+    layout = run(spark, str(raw), str(tmp_path / "out"), partition_by=["pickup_year"], source_files=True)
+    bronze = load_from_parquet(spark, layout.bronze("yellow"))
+    assert bronze.count() == yellow.count() and bronze.columns[-1] == "source_file"
+    assert bronze.filter("Airport_fee IS NULL").count() == yellow.filter("VendorID = 1").count()
+    files = bronze.select(F.regexp_extract("source_file", "tripdata_([0-9-]+)", 1).alias("f")).distinct().collect()
+    assert {r.f for r in files} == {"2019-12", "2025-01"}
+    assert list((tmp_path / "out/silver/yellow_taxi").glob("pickup_year=*"))
+    assert {p for p in folder.glob("fareloom-*/prepared*")} == before
+    drifted = run(spark, str(raw), str(tmp_path / "drifted"), drifted=True, source_files=True)
+    assert load_from_parquet(spark, drifted.bronze("yellow")).filter("source_file IS NULL").count() == 0
+    one = run(spark, str(raw), str(tmp_path / "one"), patterns={"yellow": "taxi/yellow_tripdata_2025-*.parquet"})
+    assert load_from_parquet(spark, one.bronze("yellow")).count() == yellow.filter("VendorID <> 1").count()
+
+
+def test_conflicting_types_are_an_error_by_default(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/a_1.parquet")
+    spark.range(3).selectExpr("string(id) AS id").write.parquet(f"{tmp_path}/a_2.parquet")
+    with pytest.raises(Exception, match="MERGE"):
+        medallion.raw_feeds(spark, str(tmp_path), {"a": "a_*.parquet"})
+
+
+def test_many_deliveries_of_two_schemas_take_few_jobs(spark, tmp_path):
+    paths = [f"{tmp_path}/d_{k:02}.parquet" for k in range(50)]
+    for k, path in enumerate(paths):
+        kind = "double" if k < 23 else "long"
+        spark.range(k, k + 1).selectExpr(f"cast(id AS {kind}) AS id", *(["1 AS extra"] if k % 3 else [])).coalesce(1).write.parquet(path)
+    schema = StructType.fromDDL("id long, extra int")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("footers", "footers")
+    df = read_deliveries(spark, paths, schema)
+    jobs = len(tracker.getJobIdsForGroup("footers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 16
+    assert sorted(map(tuple, df.collect())) == [(k, 1 if k % 3 else None) for k in range(50)]
+
+
+def test_a_hot_key_is_split_over_the_files_asked_for(spark, tmp_path):
+    df = spark.range(10_000).withColumn("k", F.lit(1))
+    save_to_parquet(df, str(tmp_path / "t"), partition_by=["k"], files=4)
+    assert len(list((tmp_path / "t/k=1").glob("*.parquet"))) == 4
+    save_to_parquet(df.withColumn("k", F.col("id") % 50), str(tmp_path / "u"), partition_by=["k"], files=4)
+    assert len(list((tmp_path / "u").glob("k=*/*.parquet"))) <= 54
+
+
 def test_nothing_delivered_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="no deliveries"):
         run(spark, str(tmp_path), str(tmp_path / "out"))
