@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from fareloom.functions.names import quoted
+
 BUCKETS = 2048
 
 # Sketches of this size are off by less than the slack in rank, bar rare cases that cost a round.
@@ -96,7 +98,7 @@ def _first_brackets(df: DataFrame, targets: Mapping[str, Sequence[float]]) -> di
     single task receives a sketch from every task of a large scan.
     """
     series = range(len(targets))
-    values = df.select(*(F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(targets)))
+    values = df.select(*(quoted(c).cast("double").alias(f"v{i}") for i, c in enumerate(targets)))
     groups = values.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("merge_group")).agg(
         *(F.count(f"v{i}").alias(f"n{i}") for i in series),
         *(F.kll_sketch_agg_double(f"v{i}", SKETCH_SIZE).alias(f"sketch{i}") for i in series),
@@ -136,7 +138,7 @@ def _histogram(df: DataFrame, columns: list[str], targets: list[_Target]) -> lis
     them at once yields no more groups than the targets have buckets in total.
     """
     pairs = [
-        F.struct(F.lit(i).alias("series"), F.col(c).cast("double").alias("value"))
+        F.struct(F.lit(i).alias("series"), quoted(c).cast("double").alias("value"))
         for i, c in enumerate(columns)
     ]
     if len(pairs) == 1:

@@ -5,9 +5,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.functions.names import quoted
 from fareloom.operators.quantiles import exact_quantiles
 
-# Columns described on the raw layer and summarised on the refined layer.
+# Columns described on the raw layer and summarised on the refined layer; the names
+# of the statistics and totals below are fixed values as well.
 DESCRIBED_COLUMNS = ("trip_distance", "fare_amount", "total_amount", "tip_amount", "passenger_count")
 SUMMARY_COLUMNS = (
     "trip_distance",
@@ -25,11 +27,11 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] = DESCRIBED_COLUMNS)
         *(
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("stddev"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
+                F.count(quoted(c)).alias("n"),
+                F.avg(quoted(c)).alias("mean"),
+                F.stddev_samp(quoted(c)).alias("stddev"),
+                F.min(quoted(c)).cast("double").alias("min"),
+                F.max(quoted(c)).cast("double").alias("max"),
             )
             for c in columns
         )
@@ -49,7 +51,7 @@ def summary_statistics(
         medians = exact_quantiles(df, {c: (0.5,) for c in columns})
         median = {c: F.lit(medians[c][0]) for c in columns}
     else:
-        median = {c: F.percentile_approx(c, 0.5, accuracy) for c in columns}
+        median = {c: F.percentile_approx(quoted(c), 0.5, accuracy) for c in columns}
 
     def or_zero(value: Column, name: str) -> Column:
         return F.coalesce(value.cast("double"), F.lit(0.0)).alias(name)
@@ -58,10 +60,10 @@ def summary_statistics(
         *(
             F.struct(
                 F.lit(c).alias("column_name"),
-                or_zero(F.avg(c), "mean"),
-                or_zero(F.stddev_samp(c), "stddev"),
-                or_zero(F.min(c), "min"),
-                or_zero(F.max(c), "max"),
+                or_zero(F.avg(quoted(c)), "mean"),
+                or_zero(F.stddev_samp(quoted(c)), "stddev"),
+                or_zero(F.min(quoted(c)), "min"),
+                or_zero(F.max(quoted(c)), "max"),
                 or_zero(median[c], "median"),
             )
             for c in columns

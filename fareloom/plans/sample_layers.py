@@ -2,7 +2,7 @@
 
 The order tables are joined once and the result is kept as delivered files, one folder per
 feed; bronze, silver and gold are stored from there the way any delivery would be. They live
-in the session's shared folder.
+in the session's shared folder. The given tables are taken not to change while a session lasts.
 """
 
 from collections.abc import Callable

@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from fareloom.operators.cleaning import drop_duplicates
 from fareloom.operators.quality import (
     duplicate_profile,
     invalid_values,
@@ -143,3 +144,20 @@ def test_date_range_and_shape(trip):
     row = date_range(df).first()
     assert (row.min_date, row.max_date, row.total_records) == (datetime(2024, 5, 1), datetime(2025, 1, 1, 10, 0), 3)
     assert tuple(table_shape(df).first()) == (3, 9)
+
+
+def test_names_with_dots_and_backquotes(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (3.0, None)], "`a.b` double, `c``d` double")
+    assert drop_duplicates(df, ignore=("c`d",)).columns == ["a.b", "c`d"]
+    assert [r.n for r in describe_numeric(df, df.columns).collect()] == [3, 2]
+    assert [r.median for r in summary_statistics(df, df.columns).collect()] == [1.0, 2.0]
+    assert quality_report(df).filter("metric = 'total_columns'").first().value == 2
+
+
+def test_quality_report_covers_the_load_columns(spark):
+    rows = [(1, "x", None), (1, "y", None), (2, None, "f")]
+    df = spark.createDataFrame(rows, "k int, processed_timestamp string, source_file string")
+    report = {(r.scope, r.metric): r.value for r in quality_report(df).collect()}
+    assert report["table", "total_columns"] == 3 and report["table", "duplicate_count"] == 1
+    assert report["column:processed_timestamp", "null_count"] == 1
+    assert report["column:source_file", "null_count"] == 2
