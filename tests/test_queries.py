@@ -45,3 +45,20 @@ def test_results_do_not_depend_on_broadcasting(spark, engine):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_the_stored_zone_table_has_its_columns_in_the_declared_order(spark):
+    assert queries.queries()["stored_zone_analytics"](spark, SF_DIR).columns == [
+        "PULocationID",
+        "pickup_borough",
+        "pickup_zone",
+        "total_trips",
+        "avg_trip_distance",
+        "avg_trip_duration",
+        "avg_fare_amount",
+        "avg_total_amount",
+        "avg_tip_amount",
+        "avg_tip_rate",
+        "avg_passenger_count",
+        "total_revenue",
+    ]
