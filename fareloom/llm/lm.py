@@ -35,7 +35,7 @@ FOR_WEIGHTS = 0
 MAIN, WEIGHING, OUTSIDE = 0, 1, 2
 
 START, END = np.uint64(0x5374617274), np.uint64(0x456E64)
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 1_500_000
 WORDS, BIGRAMS = 1, 2
 # The histogram's bins: quarters of a power of two, of probabilities down to 2 ** -60.
 BINS_A_BIT, LEAST_BIT = 4, 60
@@ -138,6 +138,15 @@ def _edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(at, np.arange(buckets + 1))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts, mostly small, compressed."""
+    return pa.compress(counts.astype(np.int64).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, n * 8, codec="zstd", asbytes=True), np.int64)
+
+
 def ask(chunks: DataFrame, buckets: int) -> DataFrame:
     """What every chunk asks of every bucket, with the counts it adds."""
 
@@ -152,8 +161,8 @@ def ask(chunks: DataFrame, buckets: int) -> DataFrame:
                             "kind": kind,
                             "chunk": row["chunk"],
                             "hashes": hashes[s:e].tobytes(),
-                            "main": main[s:e].astype(np.uint32).tobytes(),
-                            "weighing": weighing[s:e].astype(np.uint32).tobytes(),
+                            "main": _packed(main[s:e]),
+                            "weighing": _packed(weighing[s:e]),
                         }
                         for b, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True))
                         if e > s
@@ -169,17 +178,18 @@ def answer(asked: DataFrame) -> DataFrame:
     def run(rows: pa.Table) -> pa.Table:
         kind, bucket = rows.column("kind")[0].as_py(), rows.column("bucket")[0].as_py()
         parts = rows.column("hashes").to_pylist()
+        sizes = [len(p) // 8 for p in parts]
         hashes, back = np.unique(np.frombuffer(b"".join(parts), np.uint64), return_inverse=True)
         total = {}
         for name in ("main", "weighing"):
-            counts = np.frombuffer(b"".join(rows.column(name).to_pylist()), np.uint32)
+            counts = np.concatenate([_unpacked(c, n) for c, n in zip(rows.column(name).to_pylist(), sizes, strict=True)])
             total[name] = np.bincount(back, counts, len(hashes)).astype(np.int64)
-        ends = np.cumsum([len(p) // 8 for p in parts])
+        ends = np.cumsum(sizes)
         out = []
         for chunk, s, e in zip(rows.column("chunk").to_pylist(), [0, *ends[:-1]], ends, strict=True):
             row = {"chunk": chunk, "kind": kind, "bucket": bucket, "vocabulary": 0}
             for name, counts in total.items():
-                row[name] = pa.compress(counts[back[s:e]].tobytes(), codec="zstd", asbytes=True)
+                row[name] = _packed(counts[back[s:e]])
             out.append(row)
         if kind == WORDS:
             out[0]["vocabulary"] = int(((total["main"] + total["weighing"]) > 0).sum())
@@ -198,8 +208,7 @@ def _answered(chunk: Chunk, rows: list[dict], buckets: int) -> dict[int, tuple[n
             if row["kind"] == kind:
                 s, e = edges[row["bucket"]], edges[row["bucket"] + 1]
                 for into, name in ((main, "main"), (weighing, "weighing")):
-                    data = pa.decompress(row[name], int(e - s) * 8, codec="zstd", asbytes=True)
-                    into[s:e] = np.frombuffer(data, np.int64)
+                    into[s:e] = _unpacked(row[name], int(e - s))
         out[kind] = (main, weighing)
     return out
 
