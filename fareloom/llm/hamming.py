@@ -2,8 +2,8 @@
 
 Codes are cut into segments, about as many bits each as the number of codes has. A code within
 distance d of a query agrees with it in some segment within d / segments. Segments are probed at
-radius 0, 1, 2, ..., and after radius r every code nearer than segments * (r + 1) has been met;
-a query is done when its k-th verified distance is below that, so the answer is exact.
+radius 0, 1, 2, ..., half of them at a time, and after each step every code up to a known distance
+has been met; a query is done when its k-th verified distance is within it, so the answer is exact.
 
 Equal codes are one entry of the index, which lists the smallest ids only as far as a result can
 use them, found by partial ranking; a code that many rows share is met once. Queries of equal
@@ -52,6 +52,21 @@ def segments(code: str, widths: list[int]) -> list[Column]:
     return out
 
 
+def search_steps(widths: list[int]) -> list[tuple[int, range, int]]:
+    """Radius, the segments probed at it, and the distance up to which every code is then met.
+
+    From radius 2 on, where probes are many, half of the segments are probed before the others:
+    once the first h of m segments are probed at radius r, and all at r - 1, a code not yet met
+    differs in more than r bits in each of the h and in r at least in each other.
+    """
+    m, out = len(widths), []
+    for radius in range(max(widths) + 1):
+        if radius >= 2:
+            out.append((radius, range(m // 2), m * radius + m // 2 - 1))
+        out.append((radius, range(m // 2 if radius >= 2 else 0, m), m * radius + m - 1))
+    return out
+
+
 def flips(width: int, radius: int) -> list[int]:
     return [sum(1 << b for b in chosen) for chosen in combinations(range(width), radius)]
 
@@ -80,8 +95,9 @@ def top_k(rows: DataFrame, queries_by: Column, k: int = 10) -> DataFrame:
     active = stage(queries.select("query").distinct().join(own, "query", "left").na.fill(0, ["own"]), "active")
     met, done = None, []
     distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
-    for radius in range(max(widths) + 1):
-        masks = [(n, m) for n, width in enumerate(widths) if radius <= width for m in flips(width, radius)]
+    steps = search_steps(widths)
+    for radius, probed, covered in steps:
+        masks = [(n, m) for n in probed if radius <= widths[n] for m in flips(widths[n], radius)]
         lists = spark.createDataFrame(masks, "segment int, mask long")
         probes = (
             active.select("query", F.explode(F.array(*segments("query", widths))).alias("s"))
@@ -102,10 +118,9 @@ def top_k(rows: DataFrame, queries_by: Column, k: int = 10) -> DataFrame:
             .select("query", "code", "rows", "distance")
         )
         met = stage(found, "met")
-        covered = len(widths) * (radius + 1) - 1
         near = met.where(F.col("distance") <= covered).groupBy("query").agg(F.sum("rows").alias("n"))
         state = active.join(near, "query", "left").withColumn("left", F.coalesce("n", F.lit(0)) - F.col("own") < k)
-        if radius == max(widths):
+        if covered == steps[-1][2]:
             done.append(met)
             break
         state = stage(state, "state")

@@ -58,5 +58,16 @@ def test_segments_cover_the_code():
     assert len(hamming.segment_widths(60_000)) == 4
 
 
+def test_steps_meet_every_code_they_cover():
+    widths = [3, 3, 2]
+    probed = set()
+    for radius, numbers, covered in hamming.search_steps(widths):
+        probed |= {(n, radius) for n in numbers}
+        for code in range(256):
+            parts = [(code & 7).bit_count(), (code >> 3 & 7).bit_count(), (code >> 6).bit_count()]
+            if code.bit_count() <= covered:
+                assert any((n, d) in probed for n, d in enumerate(parts))
+
+
 def test_query_equals_its_sql(spark):
     assert differences(op8_hamming_search(spark, SF_DIR), connect(SF_DIR), oracle.SQL["op8_hamming_search"]) == []
