@@ -6,8 +6,9 @@ sentence in proportion to how much it could have caused the label, so sentences
 found without a label of their own.
 
 The model is fitted on a sample of labelled documents, bounded in documents and in words (the
-first in the order of a hash of the id); it is the only thing the driver holds. Every document
-is scored as a whole, sentence by sentence, in bounded memory.
+first in the order of a hash of the id, without those longer than a twentieth of the sample); it
+is the only thing the driver holds. Every document is scored as a whole, sentence by sentence, in
+bounded memory.
 
 Null and empty texts have no sentences and score 0. Without both labels in the sample every
 score is 0 or that of a constant model. Repeated rows are scored like any other, a null id is
@@ -36,6 +37,8 @@ EDGES = "\"'`,;:()[]{}<>|*_#$%&@+=~^/\\-"
 MOST_DOCUMENTS = 8_000
 MOST_WORDS = 3_000_000
 CACHED_WORDS = 300_000
+# A document longer than one such part of the sample's characters is not in the sample.
+LONGEST_PART = 20
 
 
 def sentences(text: str | None) -> list[list[str]]:
@@ -156,11 +159,17 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most_documents: int,
     # So few ids that a broadcast is bounded whatever the tables' size; no text is shuffled to find them.
     at = F.xxhash64("doc_id")
     ids = F.broadcast(labelled(labels, label, HELD_OUT).orderBy(at, "doc_id").limit(most_documents))
-    size = F.coalesce(F.length("text"), F.lit(0))
-    until = F.sum(size).over(W.orderBy(at, "doc_id", size).rowsBetween(W.unboundedPreceding, 0))
-    found = docs.select("doc_id", "text").join(ids, "doc_id").dropDuplicates(["doc_id"])
-    picked = found.withColumn("chars", until)
-    rows = picked.where(F.col("chars") <= 6 * most_words).select("text", "label").collect()
+    size, most_chars = F.coalesce(F.length("text"), F.lit(0)), 6 * most_words
+    # Only ids and lengths pass through the one task that adds them up; of repeated ids the shortest text counts.
+    key = F.xxhash64("text")
+    found = docs.select("doc_id", size.alias("size"), key.alias("key")).join(ids, "doc_id")
+    least = found.groupBy("doc_id").agg(F.min(F.struct("size", "key")).alias("text"))
+    sizes = least.select("doc_id", "text.size", "text.key").where(F.col("size") * LONGEST_PART <= most_chars)
+    until = F.sum("size").over(W.orderBy(at, "doc_id").rowsBetween(W.unboundedPreceding, 0))
+    chosen = sizes.withColumn("chars", until).where(F.col("chars") <= most_chars).select("doc_id", "size", "key")
+    chosen = F.broadcast(chosen.join(ids, "doc_id"))
+    texts = docs.select("doc_id", "text", size.alias("size"), key.alias("key"))
+    rows = texts.join(chosen, ["doc_id", "size", "key"]).dropDuplicates(["doc_id"]).select("text", "label").collect()
     return [r.text for r in rows], [r.label for r in rows]
 
 

@@ -87,3 +87,11 @@ def test_the_sample_is_bounded_and_leaves_the_fold_out(spark):
     assert len(texts) == 50 and all(int(t[2:]) % 2 == y for t, y in zip(texts, marks, strict=True))
     assert all(zlib.crc32(t[2:].encode()) % 5 for t in texts)
     assert len(toxicity.sample(docs, labels, "toxic", 50, 10)[0]) < 50
+
+
+def test_long_documents_do_not_end_the_sample(spark):
+    docs = spark.range(200).selectExpr("id AS doc_id", "CASE WHEN id % 10 = 0 THEN repeat('long ', 2000) ELSE concat('t ', id) END AS text")
+    labels = spark.range(200).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    texts, _ = toxicity.sample(docs.union(docs), labels, "toxic", 200, 1000)
+    want = [f"t {i}" for i in range(200) if i % 10 and zlib.crc32(str(i).encode()) % 5]
+    assert sorted(texts) == sorted(want)
