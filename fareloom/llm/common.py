@@ -12,7 +12,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = r"[\x20\x09-\x0D]+"
 
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

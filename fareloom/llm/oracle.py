@@ -96,4 +96,43 @@ WITH c AS (
 SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
 """
 
-SQL = {"op8_hamming_search": OP8_HAMMING_SEARCH, "op6_mixing": OP6_MIXING, "op1_jaccard_join": OP1_JACCARD_JOIN, "op3_warc": OP3_WARC}
+OP12_DECONTAMINATE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+  FROM documents
+), b AS (
+  SELECT item_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+  FROM benchmark
+), w AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n,
+    unnest(list_transform(generate_series(1, len(ws) - least(len(ws), 10) + 1),
+      lambda i: array_to_string(ws[i:i + least(len(ws), 10) - 1], ' '))) AS win
+  FROM b WHERE len(ws) > 0
+), n AS (
+  SELECT DISTINCT n FROM w
+), p AS (
+  SELECT doc, n.n, unnest(generate_series(1, len(ws) - n.n + 1)) AS pos, ws FROM d, n WHERE len(ws) >= n.n
+), h AS (
+  SELECT p.doc, p.pos, p.n, w.item_id FROM p JOIN w ON w.n = p.n AND w.win = array_to_string(p.ws[p.pos:p.pos + p.n - 1], ' ')
+), k AS (
+  SELECT doc, count(DISTINCT place) AS n_hit FROM (SELECT doc, unnest(generate_series(pos, pos + n - 1)) AS place FROM h) GROUP BY doc
+), i AS (
+  SELECT doc, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM (SELECT DISTINCT doc, item_id FROM h WHERE item_id IS NOT NULL) GROUP BY doc
+)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(k.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(i.items, '')) AS items_sha256, coalesce(k.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN k USING (doc) LEFT JOIN i USING (doc)
+"""
+
+SQL = {
+    "op8_hamming_search": OP8_HAMMING_SEARCH,
+    "op6_mixing": OP6_MIXING,
+    "op1_jaccard_join": OP1_JACCARD_JOIN,
+    "op3_warc": OP3_WARC,
+    "op12_decontaminate": OP12_DECONTAMINATE,
+}

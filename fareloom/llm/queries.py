@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fareloom.llm import bpe, hamming, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, toxicity, warc
+from fareloom.llm import bpe, decontaminate, hamming, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, toxicity, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of ten words of benchmark items, and the items they are of."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join("items", ","), 256)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", listed.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name, and the pipeline."""
     dealt = (
@@ -86,6 +96,7 @@ def queries() -> dict[str, Query]:
         op8_hamming_search,
         op9_rabitq,
         op10_line_dedup,
+        op12_decontaminate,
     )
     return {f.__name__: f for f in dealt} | {"pipeline": corpus_pipeline.run}
 
