@@ -129,10 +129,65 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(k.n_hit, 0)::BIGINT AS n
 FROM d LEFT JOIN k USING (doc) LEFT JOIN i USING (doc)
 """
 
+# The checksum by halves of bytes: the remainder of each of sixteen halves by the reversed polynomial.
+_POLYNOMIAL = 0xEDB88320
+
+
+def _remainder(half: int) -> int:
+    for _ in range(4):
+        half = half >> 1 ^ _POLYNOMIAL * (half & 1)
+    return half
+
+
+OP11_SPELLING = rf"""
+WITH RECURSIVE r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), x AS (
+  SELECT doc_id, run, count(*) AS n, hex(encode(doc_id || ':' || run)) AS hex
+  FROM r WHERE length(run) >= 7 GROUP BY ALL
+), b AS (
+  SELECT run, n, list_transform(generate_series(0, length(hex) - 1),
+    lambda k: (instr('0123456789ABCDEF', hex[k + 2 - 2 * (k % 2)]) - 1)::BIGINT) AS halves
+  FROM x
+), c AS (
+  SELECT run, n, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, halves), lambda crc, half:
+    xor(list_extract({[_remainder(k) for k in range(16)]}::BIGINT[], xor(crc, half) % 16 + 1), crc // 16))) AS h
+  FROM b
+), w AS (
+  SELECT n, CASE WHEN h % 31 = 0 THEN substring(run, 1, (h % length(run))::INT) || substring(run, (h % length(run))::INT + 2)
+    ELSE run END AS word
+  FROM c
+), v AS (
+  SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), i AS (
+  SELECT word, n, unnest(generate_series(1, length(word))) AS k FROM v
+), d AS (
+  SELECT word, n, k, substring(word, 1, k - 1) || substring(word, k + 1) AS rest FROM i
+), p AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, v.word, v.n FROM d JOIN v ON v.word = d.rest
+  UNION SELECT v.word, d.word, d.n FROM d JOIN v ON v.word = d.rest
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k, count(*) OVER (PARTITION BY word) AS n_near FROM p
+), f AS (
+  SELECT v.word, v.n, coalesce(o.n_near, 0)::BIGINT AS n_near, CASE WHEN o.near_n >= 10 * v.n THEN o.near END AS form,
+    CASE WHEN o.near_n >= 10 * v.n THEN o.near_n END AS form_n
+  FROM v LEFT JOIN o ON o.word = v.word AND o.k = 1
+), t(word, root) AS (
+  SELECT word, word FROM f WHERE form IS NULL
+  UNION ALL
+  SELECT f.word, t.root FROM f JOIN t ON f.form = t.word
+)
+SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t USING (word)
+"""
+
 SQL = {
     "op8_hamming_search": OP8_HAMMING_SEARCH,
     "op6_mixing": OP6_MIXING,
     "op1_jaccard_join": OP1_JACCARD_JOIN,
     "op3_warc": OP3_WARC,
+    "op11_spelling": OP11_SPELLING,
     "op12_decontaminate": OP12_DECONTAMINATE,
 }

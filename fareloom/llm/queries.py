@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fareloom.llm import bpe, decontaminate, hamming, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, toxicity, warc
+from fareloom.llm import bpe, decontaminate, hamming, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, spelling, toxicity, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, one run in 31 misspelt, under their more frequent forms."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.vocabulary(spelling.misspelt(spelling.runs_of(docs))))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside windows of ten words of benchmark items, and the items they are of."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +102,7 @@ def queries() -> dict[str, Query]:
         op8_hamming_search,
         op9_rabitq,
         op10_line_dedup,
+        op11_spelling,
         op12_decontaminate,
     )
     return {f.__name__: f for f in dealt} | {"pipeline": corpus_pipeline.run}
