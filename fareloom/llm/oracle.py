@@ -183,6 +183,37 @@ WITH RECURSIVE r AS (
 SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t USING (word)
 """
 
+OP13_TREAP_SEARCH = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, doc_id, unnest(list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM documents
+), t AS (
+  SELECT doc, doc_id, term, count(*) AS tf FROM d GROUP BY ALL
+), n AS (
+  SELECT doc, sum(tf)::BIGINT AS n FROM t GROUP BY doc
+), s AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n
+), f AS (
+  SELECT term, count(*) AS df FROM t GROUP BY term
+), b AS (
+  SELECT item_id, unnest(list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), w AS (
+  SELECT item_id, term, count(*) * floor(1000 * ln((2 * s.docs + 2) / (2 * f.df + 1)))::BIGINT AS w
+  FROM b JOIN f USING (term), s GROUP BY item_id, term, s.docs, f.df
+), r AS (
+  SELECT w.item_id, t.doc, t.doc_id, sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 12 * (100 - 25 + (25 * n.n * s.docs) // s.terms))))::BIGINT AS score
+  FROM w JOIN t USING (term) JOIN n USING (doc), s GROUP BY w.item_id, t.doc, t.doc_id
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM r WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
 SQL = {
     "op8_hamming_search": OP8_HAMMING_SEARCH,
     "op6_mixing": OP6_MIXING,
@@ -190,4 +221,5 @@ SQL = {
     "op3_warc": OP3_WARC,
     "op11_spelling": OP11_SPELLING,
     "op12_decontaminate": OP12_DECONTAMINATE,
+    "op13_treap_search": OP13_TREAP_SEARCH,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fareloom.llm import bpe, decontaminate, hamming, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, spelling, toxicity, warc
+from fareloom.llm import bpe, decontaminate, hamming, jaccard_join, line_dedup, lm, mixing, oracle, quality, rabitq, spelling, toxicity, treap, warc
 from fareloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,11 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that score highest for the terms of every benchmark item."""
+    return treap.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def queries() -> dict[str, Query]:
     """Every dealt operator by its registered name, and the pipeline."""
     dealt = (
@@ -104,6 +109,7 @@ def queries() -> dict[str, Query]:
         op10_line_dedup,
         op11_spelling,
         op12_decontaminate,
+        op13_treap_search,
     )
     return {f.__name__: f for f in dealt} | {"pipeline": corpus_pipeline.run}
 

@@ -1,0 +1,142 @@
+"""Ranked search by K2-treaps against brute force over all documents."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from oracle_compare import connect, differences
+
+from fareloom.llm import oracle, treap
+from fareloom.llm.queries import op13_treap_search
+from fareloom.llm.shingles import Powers
+
+SF_DIR = "/root/testdata/sf0.001"
+DOCS, ITEMS = "doc_id long, text string, item_id int", "item_id long, text string, doc_id int"
+
+
+def terms(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(docs, items, k=20):
+    held = [(doc, Counter(terms(text))) for doc, text in docs]
+    held = [(doc, c, sum(c.values())) for doc, c in held if c]
+    n_docs, n_terms = len(held), sum(n for _, _, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    asked = {}
+    for item, text in set(items):
+        asked.setdefault(item, Counter()).update(terms(text))
+    out = []
+    for item, wanted in asked.items():
+        scored = []
+        for doc, c, n in held:
+            m = 100 - 25 + 25 * n * n_docs // n_terms
+            score = 0
+            for term, times in wanted.items():
+                if tf := c[term]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                    score += times * w * (1_000_000_000 * tf // (1000 * tf + 12 * m))
+            if score > 0:
+                scored.append((score, doc))
+        scored.sort(key=lambda x: (-x[0], x[1] is None, x[1] or 0))
+        out += [(item, rank, doc, score) for rank, (score, doc) in enumerate(scored[:k], 1)]
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted([(r.item_id, r.rank, r.doc_id, r.score) for r in df.collect()], key=str)
+
+
+def tables(seed, n_docs=150):
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(120)] + ["Ärger", "été", "中文", "\U0001f600", "X1y"]
+    weights = [1 / (k + 1) for k in range(len(vocabulary))]
+    text = lambda n: "".join(w + rng.choice([" ", ", ", "\n", "; "]) for w in rng.choices(vocabulary, weights, k=n))
+    docs = [(0, None), (1, ""), (2, "?! ,"), (None, "w5 w100 w101"), (None, "w100 w100"), (9, "w100"), (9, "w100"), (8, "w100")]
+    docs += [(rng.randrange(10**12), text(rng.choice([1, 3, 20, 200]))) for _ in range(n_docs)]
+    items = [(k, text(rng.choice([1, 2, 8, 40]))) for k in range(15)]
+    items += [(0, "w100 w100 w3"), (1, None), (77, None), (78, "--"), (79, "unknownword"), (None, "w100"), items[3], items[3]]
+    return docs, items
+
+
+def spark_tables(spark, docs, items):
+    return spark.createDataFrame([(*r, 1) for r in docs], DOCS), spark.createDataFrame([(*r, 1) for r in items], ITEMS)
+
+
+@pytest.mark.parametrize("seed, block_terms, block_docs, pass_terms", [(1, 1 << 21, 1 << 12, 1 << 20), (2, 300, 7, 40), (3, 1, 1, 10**6)])
+def test_equals_brute_force(spark, seed, block_terms, block_docs, pass_terms):
+    docs, items = tables(seed)
+    rows, asked = spark_tables(spark, docs, items)
+    corpus = treap.corpus_of(rows)
+    index = treap.build_index(rows, corpus, block_terms, block_docs)
+    assert rows_of(treap.search(index, asked, corpus, 20, pass_terms)) == brute(docs, items)
+    assert index.selectExpr("sum(n_docs)").first()[0] == corpus.docs
+
+
+def test_ties_go_to_the_smaller_id_and_null_comes_last(spark):
+    docs = [(k, "same words here") for k in random.Random(4).sample(range(1000), 60)] + [(None, "same words here"), (5000, "other")]
+    items = [(1, "words same")]
+    got = rows_of(treap.search_documents(*spark_tables(spark, docs, items), k=61))
+    assert got == brute(docs, items, 61) and (1, 61, None, got[0][3]) in got
+
+
+def test_empty_tables(spark):
+    docs, items = spark_tables(spark, *tables(1))
+    assert treap.search_documents(docs.limit(0), items).count() == 0
+    assert treap.search_documents(docs, items.limit(0)).count() == 0
+    assert treap.search_documents(spark.createDataFrame([(1, ".", 0)], DOCS), items).count() == 0
+
+
+def test_long_texts_are_cut_between_terms():
+    rng, powers = random.Random(5), Powers()
+    texts = ["", "a b", " ".join(f"t{rng.randrange(99)}" for _ in range(3000)) + " é" * 50, None, "x" * 5000 + " y", "z"]
+    data, edges = treap._texts(pa.array(["skipped", *texts])[1:])
+    whole = [np.concatenate(x) for x in zip(*treap._terms(data, edges, powers, 10**9), strict=True)]
+    for size in (1, 7, 64, 1000):
+        parts = [np.concatenate(x) for x in zip(*treap._terms(data, edges, powers, size), strict=True)]
+        assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    assert np.bincount(whole[0], minlength=6).tolist() == [len(terms(t)) for t in texts]
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(6)
+    long = " ".join(f"w{rng.randrange(5000)}" for _ in range(600_000))
+    docs = [(1, long), (2, "w1 w2"), (3, "x" * 3_000_000 + " w3"), (4, "w4")]
+    items = [(1, "w1 w2 w3"), (2, " ".join(f"w{k}" for k in range(3000)))]
+    assert rows_of(treap.search_documents(*spark_tables(spark, docs, items))) == brute(docs, items)
+
+
+def test_ranges_that_cannot_reach_the_best_are_left_out():
+    """Words of one document each, among 4,000 documents: nearly all ranges are never opened."""
+    rng = random.Random(7)
+    docs = [" ".join(rng.choices([f"w{k}" for k in range(50)], k=30)) + f" u{i}" for i in range(4000)]
+    powers = Powers()
+    own, hashes = (np.concatenate(x) for x in zip(*treap._terms(*treap._texts(pa.array(docs)), powers), strict=True))
+    held = treap.Treap(treap.block(np.arange(4000), np.zeros(4000, bool), own, hashes, treap.Corpus(4000, len(own))))
+    opened, part = [0], held.part
+
+    def counted(nodes, quarter):
+        opened[0] += len(nodes)
+        return part(nodes, quarter)
+
+    held.part = counted
+    rows = held.rows_of(np.concatenate([h for _, h in treap._terms(*treap._texts(pa.array(["u7 u407 u807 u1207 u1607"])), powers)]))
+    level, nodes = held.whole_rows(rows)
+    best = treap.Best(5)
+    held.search(level, nodes, rows, np.full(5, 1000), best)
+    assert sorted(best.ids.tolist()) == [7 + 400 * k for k in range(5)] and opened[0] < 1000
+
+
+def test_query_over_all_documents(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    assert rows_of(op13_treap_search(spark, SF_DIR)) == brute(docs, items)
+
+
+def test_query_equals_its_sql(spark):
+    assert differences(op13_treap_search(spark, SF_DIR), connect(SF_DIR), oracle.SQL["op13_treap_search"]) == []
