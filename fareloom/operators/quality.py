@@ -1,4 +1,4 @@
-"""Data-quality reports. Each is a small table computed in one job."""
+"""Data-quality reports. Each is a small table from one aggregate; copies are counted ahead of it."""
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.names import quoted
 from fareloom.functions.trip_columns import percent_of
+from fareloom.operators.copies import count_copies
 from fareloom.sources.schemas import LOAD_COLUMNS
 
 
@@ -34,29 +35,20 @@ def null_summary(df: DataFrame) -> DataFrame:
     return null_profile(df).filter("null_count > 0")
 
 
-def _copies(df: DataFrame, ignore: Sequence[str]) -> DataFrame:
-    """Distinct rows with their number of copies in ``__copies``, and the NULLs of ignored columns."""
-    ignored = [c for c in df.columns if c in ignore]
-    return df.groupBy(*(quoted(c) for c in df.columns if c not in ignore)).agg(
-        F.count(F.lit(1)).alias("__copies"),
-        *(F.count_if(quoted(c).isNull()).alias(f"__nulls_{i}") for i, c in enumerate(ignored)),
-    )
+def _compared(df: DataFrame, ignore: Sequence[str]) -> list[str]:
+    return [c for c in df.columns if c not in ignore]
 
 
 def duplicate_profile(df: DataFrame, ignore: Sequence[str] = LOAD_COLUMNS) -> DataFrame:
     """One row: total_rows, distinct_rows, duplicate_count, duplicate_percentage.
 
-    Rows are compared whole, but for the columns to ``ignore``; counted and
-    compared in the same pass.
+    Rows are compared whole, but for the columns to ``ignore``. Copies are counted right
+    away, by hash first, so that unique rows are not moved.
     """
-    total = F.coalesce(F.sum("__copies"), F.lit(0))
-    counts = _copies(df, ignore).agg(
-        total.alias("total_rows"), F.count(F.lit(1)).alias("distinct_rows")
-    )
-    duplicates = F.col("total_rows") - F.col("distinct_rows")
-    return counts.select(
+    duplicates = F.lit(count_copies(df, _compared(df, ignore))).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("total_rows")).select(
         "total_rows",
-        "distinct_rows",
+        (F.col("total_rows") - duplicates).alias("distinct_rows"),
         duplicates.alias("duplicate_count"),
         percent_of(duplicates, F.col("total_rows")).alias("duplicate_percentage"),
     )
@@ -65,14 +57,12 @@ def duplicate_profile(df: DataFrame, ignore: Sequence[str] = LOAD_COLUMNS) -> Da
 def quality_report(df: DataFrame, ignore: Sequence[str] = LOAD_COLUMNS) -> DataFrame:
     """Row, column, duplicate and NULL figures in one table: scope, metric, value.
 
-    ``scope`` is ``table`` or ``column:<name>``. Distinct rows carry their number of copies,
-    so the NULL counts come from the same single scan as the duplicate count. Columns to
+    ``scope`` is ``table`` or ``column:<name>``. Copies are counted right away, by hash first;
+    rows and NULLs are counted in one partial aggregate, which moves a row per task. Columns to
     ``ignore`` are left out of the comparison only.
     """
-    copies = _copies(df, ignore)
-    ignored = [c for c in df.columns if c in ignore]
-    total = F.coalesce(F.sum("__copies"), F.lit(0))
-    duplicates = total - F.count(F.lit(1))
+    total = F.count(F.lit(1))
+    duplicates = F.lit(count_copies(df, _compared(df, ignore)))
 
     def row(scope: str, metric: str, value: Column) -> Column:
         return F.struct(
@@ -88,15 +78,12 @@ def quality_report(df: DataFrame, ignore: Sequence[str] = LOAD_COLUMNS) -> DataF
         row("table", "duplicate_percentage", percent_of(duplicates, total)),
     ]
     for c in df.columns:
-        if c in ignored:
-            nulls = F.coalesce(F.sum(f"__nulls_{ignored.index(c)}"), F.lit(0))
-        else:
-            nulls = F.coalesce(F.sum(F.when(quoted(c).isNull(), F.col("__copies"))), F.lit(0))
+        nulls = F.count_if(quoted(c).isNull())
         rows += [
             row(f"column:{c}", "null_count", nulls),
             row(f"column:{c}", "null_percentage", percent_of(nulls, total)),
         ]
-    return copies.agg(F.array(*rows).alias("report")).select(F.inline("report"))
+    return df.agg(F.array(*rows).alias("report")).select(F.inline("report"))
 
 
 def trip_checks() -> dict[str, Column]:

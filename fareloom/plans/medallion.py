@@ -20,7 +20,7 @@ from fareloom.sources.readers import (
     read_merged,
 )
 from fareloom.sources.schemas import FEED_SCHEMAS, SOURCE_FILE, ZONE_SCHEMA
-from fareloom.sources.sinks import drop_staged, save_to_parquet, shared_folder, stage
+from fareloom.sources.sinks import save_to_parquet, staging
 
 # Where deliveries are found below the raw folder by default: those of every year and month.
 FEED_PATTERNS = {
@@ -97,7 +97,7 @@ def prepare(bronze: DataFrame) -> DataFrame:
 
 
 def refine(bronze: DataFrame) -> DataFrame:
-    """Prepared trips without outliers."""
+    """Prepared trips without outliers. They read tables staged on the way: store them within ``staging``."""
     return prepare(bronze).transform(remove_outliers)
 
 
@@ -116,13 +116,12 @@ def build_silver(
 ) -> None:
     """Refine the stored bronze feeds, optionally into one folder per year and month, say.
 
-    The prepared trips that outliers are looked for in are deleted once silver is stored.
+    What is staged on the way is deleted once a feed's silver is stored.
     """
     for feed in feeds:
-        prepared = stage(prepare(load_from_parquet(spark, layout.bronze(feed))), "prepared")
-        trips = remove_outliers(prepared, staged=True)
-        save_to_parquet(trips, layout.silver(feed), partition_by=partition_by)
-        drop_staged(prepared)
+        with staging(spark):
+            trips = refine(load_from_parquet(spark, layout.bronze(feed)))
+            save_to_parquet(trips, layout.silver(feed), partition_by=partition_by)
 
 
 def combined(spark: SparkSession, layout: Layout, feeds: list[str]) -> DataFrame:
@@ -153,7 +152,6 @@ def run(
     ``partition_by`` lays silver out in folders; ``source_files`` keeps the file of every row.
     """
     layout = Layout(out_dir)
-    shared_folder(spark)
     size_shuffles(spark, raw_dir)
     feeds = raw_feeds(spark, raw_dir, patterns, drifted, source_files)
     if not feeds:

@@ -24,7 +24,7 @@ def _stored_once(
     """The folder of ``step``, storing it there the first time this session asks."""
     key = (spark.sparkContext.applicationId, sf_dir, step)
     if key not in _stored:
-        path = folder or new_folder(spark, step)
+        path = folder or new_folder(spark, step, owned=False)
         store(path)
         _stored[key] = path
     return _stored[key]

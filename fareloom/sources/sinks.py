@@ -1,7 +1,9 @@
 """Writers: table output, and staging of an intermediate result that is read many times."""
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,15 +44,42 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; where that is unset, the session's
-    warehouse folder is taken, which is shared as well.
+    warehouse folder is taken. A warehouse on the local disk of one machine is refused
+    unless the session runs on one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all executors share; {folder} is local to each")
     return folder.rstrip("/")
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/fareloom-{uuid.uuid4().hex}/{name}"
+# The folder of the innermost open scope.
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A scope that owns the tables staged while it is the innermost: one folder, deleted at its end.
+
+    That also holds after an error. What still reads a staged table has to be stored or collected
+    before the scope ends; ``refine`` and ``drop_duplicates``, which return such DataFrames, are
+    called within one.
+    """
+    folder = f"{shared_folder(spark)}/fareloom-{uuid.uuid4().hex}"
+    outer = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(outer)
+        drop_folder(spark, folder)
+
+
+def new_folder(spark: SparkSession, name: str, owned: bool = True) -> str:
+    """A path in the shared folder that no earlier run has used, below that of the open scope if ``owned``."""
+    scope = _scope.get() if owned else None
+    return f"{scope or shared_folder(spark)}/fareloom-{uuid.uuid4().hex}/{name}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

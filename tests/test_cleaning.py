@@ -11,7 +11,9 @@ from fareloom.operators.cleaning import (
     rejected_trips,
     rule_failures,
 )
+from fareloom.operators.copies import count_copies, split_copies
 from fareloom.operators.feeds import add_metadata_columns
+from fareloom.sources.schemas import LOAD_COLUMNS
 
 LIMITS = {"trip_distance": (0.0, 1000.0), "fare_amount": (0.0, 1000.0), "total_amount": (0.0, 1000.0)}
 
@@ -101,9 +103,58 @@ def test_dropping_duplicates_twice_changes_nothing(trip):
     assert sorted(drop_duplicates(once).collect()) == sorted(once.collect())
 
 
-def test_copies_are_combined_before_the_shuffle_and_rules_reach_the_scan(spark, trip, plan, tmp_path):
-    add_metadata_columns(trip({}, {}), "yellow").write.parquet(str(tmp_path / "trips"))
-    text = plan(clean_trips(drop_duplicates(spark.read.parquet(str(tmp_path / "trips")))))
-    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
-    assert text.index("Exchange") < text.index("Filter")
-    assert "GreaterThanOrEqual(fare_amount,0.0)" in text
+def loaded_twice(spark, trip, path, n=40):
+    """Trips of which a tenth occur again, in a second file and load."""
+    first = add_metadata_columns(trip(*({"fare_amount": float(k)} for k in range(n))), "yellow", F.lit("b.parquet"))
+    again = first.where("fare_amount % 10 = 3").withColumn("source_file", F.lit("a.parquet"))
+    first.unionByName(again).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_with_a_source_file_nothing_is_sorted_and_rules_reach_the_scan(spark, trip, plan, tmp_path):
+    trips = loaded_twice(spark, trip, str(tmp_path / "trips"))
+    text = plan(clean_trips(drop_duplicates(trips)))
+    assert "Sort" not in text and text.count("HashAggregate") == 2
+    assert text.count("GreaterThanOrEqual(fare_amount,0.0)") == 2
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_unique_rows_are_not_moved(spark, trip, plan, tmp_path):
+    trips = loaded_twice(spark, trip, str(tmp_path / "trips"))
+    kept = drop_duplicates(trips)
+    assert kept.count() == 40
+    copies = {r.fare_amount: r.source_file for r in kept.collect()}
+    assert {f for f, name in copies.items() if name == "a.parquet"} == {3.0, 13.0, 23.0, 33.0}
+    once, again = split_copies(trips, [c for c in trips.columns if c not in LOAD_COLUMNS])
+    assert (once.count(), again.count()) == (36, 8) and "Exchange hashpartitioning" not in plan(once)
+    unique = trips.where("source_file = 'b.parquet'")
+    assert "Exchange" not in plan(drop_duplicates(unique)) and drop_duplicates(unique).count() == 40
+
+
+def test_any_number_of_repeated_hashes_and_loads_gives_the_same_rows(spark, trip, tmp_path):
+    trips = loaded_twice(spark, trip, str(tmp_path / "trips"))
+    want = sorted(map(str, drop_duplicates(trips).collect()))
+    for most in (0, 3, 4):
+        assert sorted(map(str, drop_duplicates(trips, most=most).collect())) == want
+
+
+def test_rows_that_share_a_hash_are_compared_whole(spark):
+    df = spark.createDataFrame([(1, None), (None, 1), (1, None), (0, 0)], "a int, b int")
+    once, again = split_copies(df, df.columns)
+    assert once.count() == 1 and again.count() == 3
+    assert sorted(map(tuple, drop_duplicates(df).collect()), key=str) == sorted([(1, None), (None, 1), (0, 0)], key=str)
+    assert count_copies(df, df.columns) == 1
+
+
+def test_equal_numbers_of_other_forms_and_maps_are_copies(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),)], "a double")
+    assert drop_duplicates(df).count() == 2 and count_copies(df, ["a"]) == 2
+    nested = spark.sql("SELECT 1 AS a, array(map('k', 1)) AS b")
+    assert split_copies(nested, ["a", "b"])[0].count() == 1
+
+
+def test_a_row_repeated_very_often_and_an_empty_table(spark):
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 3 = 0 THEN id ELSE -1 END AS a", "CAST(id AS string) AS source_file")
+    kept = drop_duplicates(df)
+    assert kept.count() == 6668 and kept.where("a = -1").first().source_file == "1"
+    assert drop_duplicates(df.limit(0)).count() == 0 and count_copies(df.limit(0), ["a"]) == 0
