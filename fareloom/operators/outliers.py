@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.operators.cleaning import kept_and_removed
-from fareloom.operators.quantiles import exact_quantiles
+from fareloom.operators.quantiles import chained_quantiles, exact_quantiles
 from fareloom.sources.sinks import stage
 
 # The columns examined, in this order, and the width of the quartile fence.
@@ -54,13 +54,17 @@ def fit_bounds(
     With ``sequential`` the bounds of a column come from the rows that are within the
     bounds of the columns before it; otherwise all bounds come from the whole input,
     in one go. Quartiles are exact unless ``accuracy`` asks for an approximate digest.
-    The input is scanned several times, reading only the columns examined so far.
+    The input is scanned several times, reading only the columns examined.
     """
     fit = {"iqr": _iqr, "zscore": _zscore}.get(method.lower())
     if fit is None:
         raise ValueError(f"unknown outlier method {method!r}; use 'iqr' or 'zscore'")
     if not sequential:
         return fit(df, columns, factor, accuracy)
+    if fit is _iqr and accuracy is None and len(set(columns)) == len(columns):
+        reach = IQR_FACTOR if factor is None else factor
+        quartiles = chained_quantiles(df, list(columns), (0.25, 0.75), lambda c, q: _fence(c, q, reach).holds())
+        return [_fence(c, q, reach) for c, q in zip(columns, quartiles, strict=True)]
     bounds: list[Bounds] = []
     for column in columns:
         bounds += fit(df.filter(within(bounds)), [column], factor, accuracy)
@@ -79,15 +83,16 @@ def _iqr(
             .first()
             .asDict()
         )
-    bounds = []
-    for column in columns:
-        q1, q3 = quartiles[column] or (None, None)
-        if q1 is None:
-            bounds.append(Bounds(column, None, None))
-        else:
-            reach = factor * (q3 - q1)
-            bounds.append(Bounds(column, q1 - reach, q3 + reach, q1, q3))
-    return bounds
+    return [_fence(column, quartiles[column], factor) for column in columns]
+
+
+def _fence(column: str, quartiles: Sequence[float | None] | None, factor: float) -> Bounds:
+    """Bounds that far outside the quartiles; none without quartiles."""
+    q1, q3 = quartiles or (None, None)
+    if q1 is None:
+        return Bounds(column, None, None)
+    reach = factor * (q3 - q1)
+    return Bounds(column, q1 - reach, q3 + reach, q1, q3)
 
 
 def _zscore(

@@ -9,11 +9,17 @@ the wanted rank and continues with that bucket's smallest and largest value, unt
 they are equal. A round is one scan with a partial aggregate; what reaches the driver is a
 few thousand bucket counts whatever the size of the table. A wrong first bracket costs
 a round, not the result, because rows outside it are counted as well.
+
+Quantiles of columns of which each filters the next are found together: while one column's
+brackets are narrowed, those after it are narrowed over the rows that the guesses so far keep.
+A column counts as found only by a scan in which all filters before it were final.
 """
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,6 +31,8 @@ BUCKETS = 2048
 # Sketches of this size are off by less than the slack in rank, bar rare cases that cost a round.
 SKETCH_SIZE = 2048
 SLACK = 0.002
+# Columns whose rows another one filters are looked for in so many ranks more on either side.
+FILTERED_SLACK = 0.05
 MERGE_GROUPS = 256
 
 
@@ -37,6 +45,7 @@ class _Target:
     low: float
     high: float
     found: bool = False
+    p: float = 0.0
 
     def bucket(self, value: Column) -> Column:
         """Order-preserving bucket number; each end of the bracket has a bucket to itself."""
@@ -53,16 +62,45 @@ class _Target:
             .otherwise(inside)
         )
 
-    def narrow(self, groups: list[Row]) -> None:
-        """Move to the group of values, given in ascending order, that holds the rank."""
+    def narrow(self, groups: list[Row], margin: bool = False) -> None:
+        """Move to the group of values, given in ascending order, that holds the rank.
+
+        With ``margin`` the groups next to it inside the bracket are taken as well, or else the
+        next value: the rank is that of rows which are not final.
+        """
         seen = 0
-        for group in groups:
+        for k, group in enumerate(groups):
             seen += group["n"]
             if seen >= self.rank:
-                self.low, self.high = group["smallest"], group["largest"]
-                self.found = self.low == self.high or math.isnan(self.low)
+                low, high = group["smallest"], group["largest"]
+                if margin and k > 0:
+                    before = groups[k - 1]
+                    low = before["smallest"] if before["smallest"] >= self.low else before["largest"]
+                if margin and k + 1 < len(groups):
+                    after = groups[k + 1]
+                    high = after["largest"] if after["largest"] <= self.high else after["smallest"]
+                self.low, self.high = low, high
+                self.found = not margin and (low == high or math.isnan(low))
                 return
 
+    def guess(self) -> float:
+        return self.low if self.low == self.high else self.low / 2 + self.high / 2
+
+
+@dataclass(frozen=True)
+class Moments:
+    """Count, mean, sum of squared distances from it, smallest and largest of a column's values."""
+
+    n: int
+    mean: float | None
+    squares: float | None
+    smallest: float | None
+    largest: float | None
+
+    def deviation(self) -> float | None:
+        """The sample standard deviation; None for fewer than two values."""
+        return math.sqrt(self.squares / (self.n - 1)) if self.n > 1 else None
+
 
 def exact_quantiles(
     df: DataFrame, targets: Mapping[str, Sequence[float]]
@@ -73,44 +111,114 @@ def exact_quantiles(
     NaN is larger than any other value. The input is scanned a few times, so hand in a
     stored table rather than a long plan. Tables of any size go the same way.
     """
-    searches = _first_brackets(df, targets)
+    return quantiles_and_moments(df, targets)[0]
+
+
+def quantiles_and_moments(
+    df: DataFrame, targets: Mapping[str, Sequence[float]]
+) -> tuple[dict[str, list[float | None]], dict[str, Moments]]:
+    """``exact_quantiles``, and the moments of each column from the scan that the search begins with."""
+    searches, moments = _first_brackets(df, targets)
     while open_ := [t for group in searches.values() for t in group if not t.found]:
         columns = list(dict.fromkeys(t.column for t in open_))
         histogram = _histogram(df, columns, open_)
         for target in open_:
-            series = columns.index(target.column)
-            target.narrow(
-                sorted(
-                    (g for g in histogram if g["series"] == series),
-                    key=lambda g: (math.isnan(g["smallest"]), g["smallest"]),
-                )
-            )
-    return {
+            target.narrow(_ascending(histogram, columns.index(target.column)))
+    quantiles = {
         c: [t.low for t in searches[c]] if searches[c] else [None] * len(probabilities)
         for c, probabilities in targets.items()
     }
+    return quantiles, moments
 
 
-def _first_brackets(df: DataFrame, targets: Mapping[str, Sequence[float]]) -> dict[str, list[_Target]]:
-    """A guess around each quantile from mergeable sketches of bounded size.
+def chained_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    keep: Callable[[str, list[float] | None], Column],
+) -> list[list[float] | None]:
+    """Quantiles of each column over the rows that those before it keep; None where no value is left.
+
+    ``keep`` makes the condition for later columns from a column and its quantiles. Scans are
+    about one more than columns: each column is narrowed in all of them.
+    """
+    slack = dict.fromkeys(columns, FILTERED_SLACK) | dict.fromkeys(columns[:1], SLACK)
+    found, _ = _first_brackets(df, dict.fromkeys(columns, probabilities), slack)
+    searches = [[replace(t) for t in found[c]] for c in columns]
+    known: list[list[float] | None] = []
+    while len(known) < len(columns):
+        first, rest = len(known), columns[len(known) :]
+        if not searches[first]:
+            known.append(None)
+            continue
+        final = reduce(and_, map(keep, columns, known), F.lit(True))
+        kept = [F.lit(True)]
+        for c, group in zip(rest[:-1], searches[first:], strict=False):
+            kept.append(kept[-1] & F.coalesce(keep(c, [t.guess() for t in group] or None), F.lit(False)))
+        histogram = _histogram(df.filter(final), rest, [t for group in searches[first:] for t in group], kept)
+        for series, group in enumerate(searches[first:]):
+            values = _ascending(histogram, series)
+            n = sum(g["n"] for g in values)
+            for target in group if n else []:
+                target.rank = max(1, math.ceil(target.p * n))
+                target.narrow(values, margin=series > 0)
+            if series == 0 and not n:
+                known.append(None)
+            elif series == 0 and all(t.found for t in group):
+                known.append([t.low for t in group])
+    return known
+
+
+def _ascending(histogram: list[Row], series: int) -> list[Row]:
+    own = (g for g in histogram if g["series"] == series)
+    return sorted(own, key=lambda g: (math.isnan(g["smallest"]), g["smallest"]))
+
+
+def _merged(parts: list[Row], smallest: float | None, largest: float | None) -> Moments:
+    """The moments of all rows from those of groups of them."""
+    parts = [p for p in parts if p["n"]]
+    n = sum(p["n"] for p in parts)
+    if not n:
+        return Moments(0, None, None, None, None)
+    mean = sum(p["n"] * p["mean"] for p in parts) / n
+    # Products, unlike powers, become infinite or no number where doubles end.
+    squares = sum(p["squares"] + p["n"] * (p["mean"] - mean) * (p["mean"] - mean) for p in parts)
+    return Moments(n, mean, squares, smallest, largest)
+
+
+def _first_brackets(
+    df: DataFrame, targets: Mapping[str, Sequence[float]], slack: Mapping[str, float] | None = None
+) -> tuple[dict[str, list[_Target]], dict[str, Moments]]:
+    """A guess around each quantile from mergeable sketches of bounded size, and moments, in one scan.
 
     Sketches of the tasks are merged in groups and the groups' in one, so that no
-    single task receives a sketch from every task of a large scan.
+    single task receives a sketch from every task of a large scan. The moments of the groups,
+    a few numbers each, are merged on the driver.
     """
     series = range(len(targets))
     values = df.select(*(quoted(c).cast("double").alias(f"v{i}") for i, c in enumerate(targets)))
     groups = values.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("merge_group")).agg(
         *(F.count(f"v{i}").alias(f"n{i}") for i in series),
+        *(F.avg(f"v{i}").alias(f"mean{i}") for i in series),
+        *((F.var_pop(f"v{i}") * F.count(f"v{i}")).alias(f"squares{i}") for i in series),
+        *(F.min(f"v{i}").alias(f"smallest{i}") for i in series),
+        *(F.max(f"v{i}").alias(f"largest{i}") for i in series),
         *(F.kll_sketch_agg_double(f"v{i}", SKETCH_SIZE).alias(f"sketch{i}") for i in series),
     )
     sketches = groups.agg(
         *(F.sum(f"n{i}").alias(f"n{i}") for i in series),
+        *(F.min(f"smallest{i}").alias(f"smallest{i}") for i in series),
+        *(F.max(f"largest{i}").alias(f"largest{i}") for i in series),
+        *(
+            F.collect_list(F.struct(*(F.col(f"{name}{i}").alias(name) for name in ("n", "mean", "squares")))).alias(f"parts{i}")
+            for i in series
+        ),
         *(F.kll_merge_agg_double(f"sketch{i}", SKETCH_SIZE).alias(f"sketch{i}") for i in series),
     )
     ends = []
-    for i, probabilities in enumerate(targets.values()):
-        sketch = F.col(f"sketch{i}")
-        sides = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-SLACK, SLACK)]
+    for i, (column, probabilities) in enumerate(targets.items()):
+        sketch, reach = F.col(f"sketch{i}"), (slack or {}).get(column, SLACK)
+        sides = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-reach, reach)]
         # A sketch leaves NaN out and is empty if there is nothing else.
         ends.append(
             F.when(
@@ -118,27 +226,36 @@ def _first_brackets(df: DataFrame, targets: Mapping[str, Sequence[float]]) -> di
                 F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, sides))),
             ).alias(f"ends{i}")
         )
-    guess = sketches.select(*(f"n{i}" for i in series), *ends).first()
-    searches = {}
+    plain = [f"{name}{i}" for i in series for name in ("n", "smallest", "largest", "parts")]
+    guess = sketches.select(*plain, *ends).first()
+    searches, moments = {}, {}
     for i, (column, probabilities) in enumerate(targets.items()):
         rows = guess[f"n{i}"] or 0
         sides = guess[f"ends{i}"] or [-math.inf, math.inf] * len(probabilities)
         searches[column] = [
-            _Target(column, max(1, math.ceil(p * rows)), sides[2 * j], sides[2 * j + 1])
+            _Target(column, max(1, math.ceil(p * rows)), sides[2 * j], sides[2 * j + 1], p=p)
             for j, p in enumerate(probabilities)
             if rows
         ]
-    return searches
+        moments[column] = _merged(guess[f"parts{i}"] or [], guess[f"smallest{i}"], guess[f"largest{i}"])
+    return searches, moments
 
 
-def _histogram(df: DataFrame, columns: list[str], targets: list[_Target]) -> list[Row]:
+def _histogram(
+    df: DataFrame, columns: Sequence[str], targets: list[_Target], kept: Sequence[Column] | None = None
+) -> list[Row]:
     """Rows per (series, bucket of every target): n, smallest, largest.
 
+    A series is a column, over the rows that its condition in ``kept`` holds for.
+
     Buckets of several targets rise together with the value, so grouping on all of
     them at once yields no more groups than the targets have buckets in total.
     """
     pairs = [
-        F.struct(F.lit(i).alias("series"), quoted(c).cast("double").alias("value"))
+        F.struct(
+            F.lit(i).alias("series"),
+            (F.when(kept[i], quoted(c).cast("double")) if kept else quoted(c).cast("double")).alias("value"),
+        )
         for i, c in enumerate(columns)
     ]
     if len(pairs) == 1:
@@ -147,7 +264,7 @@ def _histogram(df: DataFrame, columns: list[str], targets: list[_Target]) -> lis
         values = df.select(F.inline(F.array(*pairs)))
     values = values.filter("value IS NOT NULL")
     buckets = [
-        F.when(F.col("series") == columns.index(t.column), t.bucket(F.col("value"))).alias(f"b{j}")
+        F.when(F.col("series") == list(columns).index(t.column), t.bucket(F.col("value"))).alias(f"b{j}")
         for j, t in enumerate(targets)
     ]
     return (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions.names import quoted
-from fareloom.operators.quantiles import exact_quantiles
+from fareloom.operators.quantiles import quantiles_and_moments
 
 # Columns described on the raw layer and summarised on the refined layer; the names
 # of the statistics and totals below are fixed values as well.
@@ -44,14 +44,18 @@ def summary_statistics(
 ) -> DataFrame:
     """Per column: mean, sample stddev, min, max and median, 0 where there is no value.
 
-    The median is exact, found ahead of the aggregate in a few scans of a stored table;
-    with ``accuracy`` it is an approximate one taken in the same aggregate.
+    The median is exact; the scan that its search begins with also gives the other figures,
+    which are computed right away. With ``accuracy`` it is an approximate one, all in one aggregate.
     """
     if accuracy is None:
-        medians = exact_quantiles(df, {c: (0.5,) for c in columns})
-        median = {c: F.lit(medians[c][0]) for c in columns}
-    else:
-        median = {c: F.percentile_approx(quoted(c), 0.5, accuracy) for c in columns}
+        medians, moments = quantiles_and_moments(df, {c: (0.5,) for c in columns})
+        rows = [
+            (c, *(v or 0.0 for v in (m.mean, m.deviation(), m.smallest, m.largest, medians[c][0])))
+            for c, m in moments.items()
+        ]
+        kind = "column_name string, mean double, stddev double, min double, max double, median double"
+        return df.sparkSession.createDataFrame(rows, kind)
+    median = {c: F.percentile_approx(quoted(c), 0.5, accuracy) for c in columns}
 
     def or_zero(value: Column, name: str) -> Column:
         return F.coalesce(value.cast("double"), F.lit(0.0)).alias(name)

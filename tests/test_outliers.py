@@ -1,6 +1,7 @@
 """Exact quantiles and the outlier filters."""
 
 import math
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -95,6 +96,59 @@ def test_bounds_of_a_later_column_come_from_the_rows_kept_so_far(spark):
     assert (at_once[1].q1, at_once[1].q3) == (2.0, 8.0)
 
 
+def chain_by_sorting(rows, columns, factor=1.5):
+    """Bounds of one column after another, the plain way."""
+    out = []
+    for k in range(columns):
+        values = sorted((r[k] for r in rows if r[k] is not None), key=lambda v: (v != v, v))
+        if not values:
+            out.append((None, None))
+            rows = []
+            continue
+        q1, q3 = (values[max(1, math.ceil(p * len(values))) - 1] for p in (0.25, 0.75))
+        low, high = q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+        rows = [r for r in rows if r[k] is not None and low <= r[k] <= high]
+        out.append((q1, q3))
+    return out
+
+
+@pytest.mark.parametrize("buckets, sketch", [(2048, 2048), (3, 8)])
+def test_a_chain_of_columns_equals_sorting(spark, monkeypatch, buckets, sketch):
+    monkeypatch.setattr(quantiles, "BUCKETS", buckets)
+    monkeypatch.setattr(quantiles, "SKETCH_SIZE", sketch)
+    rng = random.Random(buckets)
+    heavy = lambda: rng.choice([None, rng.gauss(0, 1), rng.gauss(0, 40), float(rng.randrange(4)), 10.0 ** rng.randrange(9)])
+    rows = []
+    for _ in range(3000):
+        a = heavy()
+        rows.append((a, heavy() if a is None or a < 5 else -1000.0, heavy(), (a or 0.0) * rng.random()))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    assert [(b.q1, b.q3) for b in fit_bounds(df, ["a", "b", "c", "d"])] == chain_by_sorting(rows, 4)
+
+
+def test_a_chain_in_which_nothing_is_left(spark):
+    rows = [(1.0, None, 5.0), (2.0, None, 6.0), (None, 3.0, 7.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    assert [(b.q1, b.q3) for b in fit_bounds(df, ["a", "b", "c"])] == [(1.0, 2.0), (None, None), (None, None)]
+
+
+def test_a_chain_takes_about_a_scan_a_column(spark, monkeypatch):
+    scans, histogram = [0], quantiles._histogram
+    monkeypatch.setattr(quantiles, "_histogram", lambda *args: scans.__setitem__(0, scans[0] + 1) or histogram(*args))
+    columns = [(F.hash("id", F.lit(k)) % 100_003 / 7).alias(f"c{k}") for k in range(4)]
+    fit_bounds(spark.range(50_000).select(*columns), ["c0", "c1", "c2", "c3"])
+    assert scans[0] <= 5
+
+
+def test_moments_come_with_the_sketches(spark):
+    df = spark.range(1000).select((F.col("id") % 7).cast("double").alias("a"), F.lit(None).cast("double").alias("b")).repartition(5)
+    found = quantiles.quantiles_and_moments(df, {"a": (0.5,), "b": (0.5,)})[1]
+    want = df.agg(F.avg("a"), F.stddev_samp("a"), F.min("a"), F.max("a")).first()
+    got = found["a"]
+    assert (got.mean, got.deviation(), got.smallest, got.largest) == pytest.approx(tuple(want))
+    assert found["b"] == quantiles.Moments(0, None, None, None, None)
+
+
 def test_bounds_are_inclusive_and_nulls_drop(spark):
     rows = [(1.0, 0.0), (2.0, 0.0), (3.0, 0.0), (4.0, 0.0), (None, 0.0), (7.0, 0.0), (-2.0, 0.0)]
     df = table(spark, rows)
