@@ -393,6 +393,26 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice,
                    NULL::VARCHAR AS o_clerk
             FROM orders""",
+        "drifted_fields": """
+            SELECT delivery, field, status, expected, actual, n_rows
+            FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN 'finished' ELSE 'others' END AS delivery,
+                         count(*) AS n_rows FROM orders GROUP BY 1)
+            JOIN (VALUES
+                ('finished', 'o_orderkey', 'ok', 'bigint', 'bigint'),
+                ('finished', 'o_custkey', 'type_mismatch', 'bigint', 'double'),
+                ('finished', 'o_totalprice', 'ok', 'double', 'double'),
+                ('finished', 'o_clerk', 'missing', 'string', NULL),
+                ('finished', 'o_orderstatus', 'extra', NULL, 'string'),
+                ('finished', 'o_orderdate', 'extra', NULL, 'timestamp'),
+                ('finished', 'o_orderpriority', 'extra', NULL, 'string'),
+                ('others', 'o_orderkey', 'ok', 'bigint', 'bigint'),
+                ('others', 'o_custkey', 'type_mismatch', 'bigint', 'int'),
+                ('others', 'o_totalprice', 'missing', 'double', NULL),
+                ('others', 'o_clerk', 'missing', 'string', NULL),
+                ('others', 'o_orderstatus', 'extra', NULL, 'string'),
+                ('others', 'o_orderdate', 'extra', NULL, 'timestamp'),
+                ('others', 'o_orderpriority', 'extra', NULL, 'string')
+            ) AS fields(delivery, field, status, expected, actual) USING (delivery)""",
         "enforced_schema": """
             SELECT o_orderkey, o_custkey, o_totalprice, NULL::VARCHAR AS o_clerk FROM orders""",
         "schema_comparison": _from("bronze", _schema_comparison()),
@@ -533,6 +553,21 @@ def oracle_sql() -> dict[str, str]:
             "SELECT PULocationID, pickup_borough, pickup_zone, pickup_datetime, total_amount"
             " FROM trips_in_zones",
         ),
+        "zone_order": _from(
+            "zone_totals",
+            "SELECT PULocationID, total_trips,"
+            " row_number() OVER (ORDER BY total_trips DESC, PULocationID) AS position FROM zone_totals",
+        ),
+        "time_order": _from(
+            "time_totals",
+            "SELECT pickup_year, pickup_month, pickup_hour, is_weekend, row_number() OVER"
+            " (ORDER BY pickup_year, pickup_month, pickup_hour, is_weekend) AS position FROM time_totals",
+        ),
+        "feed_order": _from(
+            "silver",
+            "SELECT taxi_type, row_number() OVER (ORDER BY taxi_type) AS position"
+            " FROM silver GROUP BY taxi_type",
+        ),
         "zone_aggregate": _from("zone_totals", _ZONE_AGGREGATE),
         "stored_zone_analytics": _from("zone_totals", _ZONE_AGGREGATE),
         "top_zones": _from(

@@ -14,7 +14,8 @@ from fareloom.plans import medallion, sample_layers, sample_trips
 from fareloom.plans.sample_trips import FEEDS
 from fareloom.session import size_shuffles
 from fareloom.sources import readers
-from fareloom.sources.schema_checks import conform, validate_schema
+from fareloom.sources.footers import file_order
+from fareloom.sources.schema_checks import conform, validate_deliveries, validate_schema
 from fareloom.sources.schemas import FEED_SCHEMAS, PROCESSED_AT, SOURCE_FILE, ZONE_SCHEMA, declared
 from fareloom.sources.sinks import new_folder, save_to_parquet, stage
 
@@ -154,14 +155,16 @@ def _stored_layers(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], Da
     return {key: readers.load_from_parquet(spark, path) for key, path in paths.items()}
 
 
-def _stored_gold(table: str) -> Query:
-    """An aggregate as it was stored in the gold layer."""
+def _gold(table: str) -> Query:
+    """A table as it was stored in the gold layer."""
+    return lambda spark, sf_dir: readers.load_from_parquet(
+        spark, sample_layers.gold_layout(spark, sf_dir).gold(table)
+    )
 
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = sample_layers.gold_layout(spark, sf_dir).gold(table)
-        return _means_and_revenue(readers.load_from_parquet(spark, path))
 
-    return query
+def _stored_gold(table: str) -> Query:
+    """An aggregate of the gold layer, rounded."""
+    return lambda spark, sf_dir: _means_and_revenue(_gold(table)(spark, sf_dir))
 
 
 def schema_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,8 +188,8 @@ def enforced_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(narrow, DECLARED_ORDER, require_all=False)
 
 
-def drifted_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders delivered by status with other key types and, for one, a column short."""
+def _drifted_orders(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Folders of orders delivered by status with other key types and, for one, a column short."""
     orders = _table(spark, sf_dir, "orders")
     finished = orders.filter("o_orderstatus = 'F'").withColumn(
         "o_custkey", F.col("o_custkey").cast("double")
@@ -198,7 +201,30 @@ def drifted_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, delivery in (("finished", finished), ("others", others)):
         paths.append(new_folder(spark, name))
         save_to_parquet(delivery, paths[-1])
-    return readers.read_deliveries(spark, paths, DECLARED_ORDER)
+    return paths
+
+
+def drifted_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drifted orders under the declared schema."""
+    return readers.read_deliveries(spark, _drifted_orders(spark, sf_dir), DECLARED_ORDER)
+
+
+def drifted_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each delivery of drifted orders departs from the declared schema, and for how many rows."""
+    paths = _drifted_orders(spark, sf_dir)
+    report = validate_deliveries(spark, paths, DECLARED_ORDER)
+    delivery = F.element_at(F.split("file", "/"), -2).alias("delivery")
+    # A row count a file, from the footers; names alone are compared, as schemes are written in several ways.
+    counts = reduce(DataFrame.unionByName, (readers.file_row_counts(readers.load_from_parquet(spark, p)) for p in paths))
+    named = counts.select(F.element_at(F.split("file_path", "/"), -1).alias("name"), "n_rows")
+    joined = report.withColumn("name", F.element_at(F.split("file", "/"), -1)).join(named, "name")
+    shown = joined.withColumn("actual", F.regexp_replace("actual", "_ntz$", ""))
+    return shown.groupBy(delivery, "field", "status", "expected", "actual").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def _positions(stored: Callable[[SparkSession, str], DataFrame], *keys: str) -> Query:
+    """The keys of a sorted table with the position each row was stored at."""
+    return lambda spark, sf_dir: file_order(stored(spark, sf_dir)).select(*keys, "position")
 
 
 def merged_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,6 +380,7 @@ def _registered() -> dict[str, Query]:
         "partitioned_roundtrip": partitioned_roundtrip,
         "append_roundtrip": append_roundtrip,
         "drifted_deliveries": drifted_deliveries,
+        "drifted_fields": drifted_fields,
         "merged_deliveries": merged_deliveries,
         "enforced_schema": enforced_schema,
         "schema_comparison": schema_comparison,
@@ -414,6 +441,13 @@ def _registered() -> dict[str, Query]:
         "monthly_trend": time_rollup(aggregates.monthly_trend),
         "stored_zone_analytics": _stored_gold("zone_analytics"),
         "stored_time_analytics": _stored_gold("time_analytics"),
+        "zone_order": _positions(_gold("zone_analytics"), "PULocationID", "total_trips"),
+        "time_order": _positions(
+            _gold("time_analytics"), "pickup_year", "pickup_month", "pickup_hour", "is_weekend"
+        ),
+        "feed_order": _positions(
+            lambda spark, sf_dir: stage(aggregates.feed_distribution(_silver(spark, sf_dir)), "feeds"), "taxi_type"
+        ),
         "payment_analysis": _on_silver(aggregates.payment_analysis),
         "fleet_kpis": lambda spark, sf_dir: rounded(
             _means_and_revenue(aggregates.fleet_kpis(_silver(spark, sf_dir))), "revenue_per_minute"

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from fareloom.sources.footers import opened_by_arrow, qualified, stored_schemas, survey
 from fareloom.sources.schema_checks import conform
+from fareloom.sources.sinks import drop_staged
 
 
 def list_files(spark: SparkSession, data_dir: str, pattern: str) -> DataFrame:
@@ -74,8 +76,8 @@ def read_merged(spark: SparkSession, path: str, source_file: str | None = None)
 def _shared_footers(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
     """The paths in groups whose footers merge, each with its merged schema.
 
-    All footers are merged in one distributed job; only where types conflict is the list halved.
-    Deliveries that drifted at some time, in the order of their names, need a few jobs.
+    For paths whose footers a survey cannot open. All footers are merged in one distributed job;
+    only where types conflict is the list halved.
     """
     try:
         return [(spark.read.option("mergeSchema", True).parquet(*paths).schema, paths)]
@@ -83,26 +85,48 @@ def _shared_footers(spark: SparkSession, paths: list[str]) -> list[tuple[StructT
         if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     half = len(paths) // 2
+    return _agreeing([*_shared_footers(spark, paths[:half]), *_shared_footers(spark, paths[half:])])
+
+
+def _agreeing(found: Iterable[tuple[StructType, list[str]]]) -> list[tuple[StructType, list[str]]]:
+    """Schemas with their paths, put together where they agree in the types of their columns."""
     groups: list[tuple[StructType, list[str]]] = []
-    for schema, found in (*_shared_footers(spark, paths[:half]), *_shared_footers(spark, paths[half:])):
+    for schema, paths in found:
         for k, (other, members) in enumerate(groups):
             types = {f.name: f.dataType for f in other}
             if all(types.get(f.name, f.dataType) == f.dataType for f in schema):
                 more = [f for f in schema if f.name not in types]
-                groups[k] = (StructType([*other, *more]), [*members, *found])
+                groups[k] = (StructType([*other, *more]), [*members, *paths])
                 break
         else:
-            groups.append((schema, found))
+            groups.append((schema, paths))
     return groups
 
 
+def _surveyed(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
+    """The deliveries in groups that one scan can read, each with its schema, from a survey of their footers."""
+    found = survey(spark, paths)
+    schemas = stored_schemas(spark, found)
+    kinds = found.groupBy("delivery").agg(F.array_sort(F.collect_set("stored")).alias("kinds"))
+    together = kinds.groupBy("kinds").agg(F.array_sort(F.collect_list("delivery")).alias("deliveries")).collect()
+    drop_staged(found)
+    out = []
+    for r in sorted(together, key=lambda r: r.deliveries[0]):
+        # Files of one delivery are read by one scan, so they have to agree.
+        own = _agreeing((schemas[k], [k]) for k in r.kinds)
+        if len(own) > 1:
+            raise ValueError(f"files of one delivery store a column in different types: {r.deliveries[0]}")
+        out.append((own[0][0], r.deliveries))
+    return _agreeing(out)
+
+
 def read_deliveries(
     spark: SparkSession, paths: Iterable[str], schema: StructType, source_file: str | None = None
 ) -> DataFrame:
     """Scan deliveries whose stored types drifted, as one table of the declared ``schema``.
 
-    Each path is one delivery (a month, say). Deliveries whose stored schemas agree in
-    the types of their columns are read by one scan; each scan is cast to ``schema``,
+    Each path is one delivery (a month, say). One job surveys the footers of all, whatever
+    their number and order. Deliveries that agree in the types of their columns are read by one scan; each scan is cast to ``schema``,
     absent columns become NULL and undeclared ones are dropped. ``source_file`` names a
     column for the file each row comes from.
     """
@@ -111,9 +135,11 @@ def read_deliveries(
         schema = StructType([*schema, StructField(source_file, StringType())])
     if not paths:
         return spark.createDataFrame([], schema)
+    by_survey = all(opened_by_arrow(p) for p in (qualified(spark, p) for p in paths))
+    groups = _surveyed(spark, paths) if by_survey else _shared_footers(spark, paths)
     scans = [
         conform(_with_file(spark.read.schema(stored).parquet(*group), source_file), schema, require_all=False)
-        for stored, group in _shared_footers(spark, paths)
+        for stored, group in groups
     ]
     return reduce(DataFrame.unionByName, scans)
 

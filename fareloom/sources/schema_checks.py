@@ -1,9 +1,13 @@
 """Comparing a table with a declared schema, and making it conform."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
 
+from fareloom.sources.footers import stored_schemas, survey
+
 _REPORT = "field string, status string, expected string, actual string"
 
 
@@ -22,7 +26,14 @@ def validate_schema(
     ``status`` is ok, missing, extra or type_mismatch. Names are compared case-sensitively;
     order and nullability are not compared. Looks at the schema only and reads no data.
     """
-    have = {f.name: f.dataType for f in df.schema}
+    return df.sparkSession.createDataFrame(_compared(df.schema, expected, treat_ntz_as_timestamp), _REPORT)
+
+
+def _compared(
+    actual: StructType, expected: StructType, treat_ntz_as_timestamp: bool
+) -> list[tuple[str, str, str | None, str | None]]:
+    """(field, status, expected, actual) of every field of either side."""
+    have = {f.name: f.dataType for f in actual}
     want = {f.name: f.dataType for f in expected}
     rows = []
     for name in [*want, *(n for n in have if n not in want)]:
@@ -42,7 +53,25 @@ def validate_schema(
                 have[name].simpleString() if name in have else None,
             )
         )
-    return df.sparkSession.createDataFrame(rows, _REPORT)
+    return rows
+
+
+def validate_deliveries(
+    spark: SparkSession, paths: Iterable[str], expected: StructType, treat_ntz_as_timestamp: bool = False
+) -> DataFrame:
+    """Which delivered file departs from the declared schema, and where: file, field, status, expected, actual.
+
+    One row per file and field, as ``validate_schema`` reports them. One job reads the footers
+    of all files, and the schema is inferred once for each distinct set of stored columns.
+    """
+    found = survey(spark, paths)
+    rows = [
+        (stored, *row)
+        for stored, schema in stored_schemas(spark, found).items()
+        for row in _compared(schema, expected, treat_ntz_as_timestamp)
+    ]
+    report = spark.createDataFrame(rows, f"stored string, {_REPORT}")
+    return found.join(report, "stored").select("file", "field", "status", "expected", "actual")
 
 
 def is_valid(df: DataFrame, expected: StructType, treat_ntz_as_timestamp: bool = False) -> bool:

@@ -50,7 +50,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.conf.get("spark.sql.warehouse.dir")
-        if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        if folder.startswith(("file:", "/")) and not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError(f"set spark.checkpoint.dir to a folder all executors share; {folder} is local to each")
     return folder.rstrip("/")
 

@@ -1,0 +1,101 @@
+"""Surveys of footers, reports per file, and the order tables are stored in."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from fareloom.sources import readers
+from fareloom.sources.footers import file_order, opened_by_arrow, stored_schemas, survey
+from fareloom.sources.schema_checks import validate_deliveries
+from fareloom.sources.schemas import declared
+
+SCHEMA = declared({"key": "long", "price": "double", "name": "string"})
+
+
+def deliver(spark, folder, n, alternate=True):
+    """Files of a row each, whose key is a double, an int or, with a column short, a long."""
+    paths = []
+    for k in range(n):
+        row = spark.range(k, k + 1).select(
+            F.col("id").cast(("double", "int", "long")[k % 3] if alternate else "long").alias("key"),
+            F.lit(k / 2).alias("price"),
+            F.lit(f"n{k}").alias("name"),
+        )
+        paths.append(f"{folder}/delivery {k:02d}%.parquet")
+        (row.drop("price") if k % 3 == 2 else row).coalesce(1).write.parquet(paths[-1])
+    return paths
+
+
+def jobs(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.fixture(scope="module")
+def delivered(spark, tmp_path_factory):
+    return deliver(spark, tmp_path_factory.mktemp("deliveries"), 64)
+
+
+def test_alternating_types_take_as_many_jobs_whatever_the_number_of_files(spark, delivered):
+    few, many = (jobs(spark, f"read {n}", lambda n=n: readers.read_deliveries(spark, delivered[:n], SCHEMA)) for n in (6, 64))
+    assert many <= few <= 12
+    rows = readers.read_deliveries(spark, delivered, SCHEMA, source_file="file").orderBy("key").collect()
+    assert [(r.key, r.price, r.name) for r in rows] == [(k, None if k % 3 == 2 else k / 2, f"n{k}") for k in range(64)]
+    assert all(f"delivery%20{r.key:02d}" in r.file or f"delivery {r.key:02d}" in r.file for r in rows)
+
+
+def test_survey_and_halving_group_alike(spark, delivered):
+    def grouped(groups):
+        return sorted(sorted(p.rsplit("/", 1)[-1] for p in paths) for _, paths in groups)
+
+    assert grouped(readers._surveyed(spark, delivered[:9])) == grouped(readers._shared_footers(spark, delivered[:9]))
+
+
+def test_a_survey_has_a_row_a_file(spark, delivered):
+    found = survey(spark, delivered[:5])
+    assert found.count() == 5 and found.select("stored").distinct().count() == 3
+    types = {s.simpleString() for s in stored_schemas(spark, found).values()}
+    assert types == {"struct<key:double,price:double,name:string>", "struct<key:int,price:double,name:string>", "struct<key:bigint,name:string>"}
+
+
+def test_each_file_is_reported(spark, delivered):
+    report = validate_deliveries(spark, delivered[:3], SCHEMA)
+    wrong = {(r.file.rsplit("/", 2)[1][9:11], r.field, r.status, r.expected, r.actual) for r in report.where("status <> 'ok'").collect()}
+    assert wrong == {
+        ("00", "key", "type_mismatch", "bigint", "double"),
+        ("01", "key", "type_mismatch", "bigint", "int"),
+        ("02", "price", "missing", "double", None),
+    }
+    assert report.count() == 9
+
+
+def test_files_of_one_delivery_have_to_agree(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "d"))
+    spark.range(3).selectExpr("cast(id AS string) AS id").write.mode("append").parquet(str(tmp_path / "d"))
+    with pytest.raises(ValueError, match="different types"):
+        readers.read_deliveries(spark, [str(tmp_path / "d")], declared({"id": "long"}))
+
+
+def test_patterns_and_unknown_stores_are_read_by_spark(spark, delivered):
+    pattern = delivered[0].replace("delivery 00%", "delivery 0[0-1]%")
+    assert not opened_by_arrow(f"file:{pattern}") and not opened_by_arrow("viewfs://store/x")
+    with pytest.raises(Exception, match="MERGE"):
+        readers.read_deliveries(spark, [pattern], SCHEMA)
+    assert readers.read_deliveries(spark, [pattern.replace("0[0-1]", "0[0-0]")], SCHEMA).count() == 1
+
+
+def test_no_deliveries(spark):
+    assert readers.read_deliveries(spark, [], SCHEMA).count() == 0
+    assert validate_deliveries(spark, [], SCHEMA).count() == 0
+
+
+def test_positions_follow_the_order_a_table_was_written_in(spark, plan, tmp_path):
+    shuffled = spark.range(5000).select((F.hash("id") % 100_000).alias("x"), "id")
+    shuffled.repartition(7).orderBy("x", F.desc("id")).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    placed = [(r.x, -r.id) for r in file_order(stored).orderBy("position").collect()]
+    assert placed == sorted(placed)
+    assert sorted(r.position for r in file_order(stored).collect()) == list(range(1, 5001))

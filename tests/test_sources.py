@@ -139,7 +139,11 @@ class Settings:
 
 def test_the_shared_folder_is_the_one_the_cluster_names():
     assert shared_folder(Settings(spark_checkpoint_dir="hdfs:///shared/", spark_master="yarn")) == "hdfs:///shared"
-    assert shared_folder(Settings(spark_sql_warehouse_dir="file:/warehouse", spark_master="yarn")) == "file:/warehouse"
+    assert shared_folder(Settings(spark_sql_warehouse_dir="hdfs:///warehouse", spark_master="yarn")) == "hdfs:///warehouse"
+    assert shared_folder(Settings(spark_sql_warehouse_dir="file:/warehouse", spark_master="local[2]")) == "file:/warehouse"
+    for local in ("file:/warehouse", "/warehouse"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_folder(Settings(spark_sql_warehouse_dir=local, spark_master="yarn"))
 
 
 def test_staged_tables_can_be_deleted(spark):
