@@ -80,7 +80,7 @@ def drop_duplicates(
         least = again.groupBy(*map(quoted, compared)).agg(F.min(F.struct(*map(quoted, loaded))).alias("__copy"))
         kept = least.select(*map(quoted, compared), *(F.col("__copy").getField(c).alias(c) for c in loaded))
     else:
-        kept = _of_least_load(stage(again, "copies"), compared, loaded, most)
+        kept = _of_least_load(stage(again, "copies", infer=False), compared, loaded, most)
     kept = kept.select(*map(quoted, df.columns))
     return kept if once is None else once.unionByName(kept)
 
@@ -94,7 +94,7 @@ def _of_least_load(copies: DataFrame, compared: list[str], loaded: list[str], mo
     loads = copies.select(*map(quoted, loaded)).distinct().orderBy(*map(quoted, loaded))
     counted = Observation()
     numbered = loads.withColumn("__load", F.monotonically_increasing_id())
-    places = stage(numbered.observe(counted, F.count(F.lit(1)).alias("n")), "loads")
+    places = stage(numbered.observe(counted, F.count(F.lit(1)).alias("n")), "loads", infer=False)
     few = F.broadcast if counted.get["n"] <= most else lambda df: df
     named = places.select("__load", *(quoted(c).alias(f"__{k}") for k, c in enumerate(loaded)))
     same = reduce(and_, (quoted(c).eqNullSafe(F.col(f"__{k}")) for k, c in enumerate(loaded)))

@@ -42,7 +42,7 @@ def split_copies(
     hashed = df.withColumn(ROW_HASH, row_hash(df, columns))
     counted = Observation()
     repeated = hashed.groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(ROW_HASH)
-    marks = stage(repeated.observe(counted, F.count(F.lit(1)).alias("n")), "repeated")
+    marks = stage(repeated.observe(counted, F.count(F.lit(1)).alias("n")), "repeated", infer=False)
     n = counted.get["n"]
     if 0 < n <= most:
         once, again = (hashed.join(F.broadcast(marks), ROW_HASH, how).drop(ROW_HASH) for how in ("left_anti", "left_semi"))

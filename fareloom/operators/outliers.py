@@ -136,7 +136,7 @@ def remove_outliers(
     so whoever stores the result has to delete it. Pass ``staged=True`` if the input already
     is a stored table.
     """
-    table = df if staged else stage(df, "outlier_input")
+    table = df if staged else stage(df, "outlier_input", infer=False)
     return table.filter(within(fit_bounds(table, columns, method, factor, sequential, accuracy)))
 
 

@@ -47,21 +47,6 @@ class _Target:
     found: bool = False
     p: float = 0.0
 
-    def bucket(self, value: Column) -> Column:
-        """Order-preserving bucket number; each end of the bracket has a bucket to itself."""
-        inside = F.lit(1)
-        if self.low < self.high:
-            # Halved, so that the width of a bracket spanning all doubles is still finite.
-            width = self.high / 2 - self.low / 2
-            inside = F.floor((value / 2 - F.lit(self.low / 2)) / F.lit(width) * BUCKETS) + 1
-        return (
-            F.when(value < self.low, -1)
-            .when(value == self.low, 0)
-            .when(value == self.high, BUCKETS + 2)
-            .when(value > self.high, BUCKETS + 3)
-            .otherwise(inside)
-        )
-
     def narrow(self, groups: list[Row], margin: bool = False) -> None:
         """Move to the group of values, given in ascending order, that holds the rank.
 
@@ -111,24 +96,31 @@ def exact_quantiles(
     NaN is larger than any other value. The input is scanned a few times, so hand in a
     stored table rather than a long plan. Tables of any size go the same way.
     """
-    return quantiles_and_moments(df, targets)[0]
+    return quantiles_and_moments(df, targets, moments=False)[0]
 
 
 def quantiles_and_moments(
-    df: DataFrame, targets: Mapping[str, Sequence[float]]
+    df: DataFrame, targets: Mapping[str, Sequence[float]], moments: bool = True
 ) -> tuple[dict[str, list[float | None]], dict[str, Moments]]:
-    """``exact_quantiles``, and the moments of each column from the scan that the search begins with."""
-    searches, moments = _first_brackets(df, targets)
+    """``exact_quantiles``, and the moments of each column, counted in the first of its scans after the sketches."""
+    searches = _first_brackets(df, targets)
+    found = {c: Moments(0, None, None, None, None) for c in targets}
+    first = moments
     while open_ := [t for group in searches.values() for t in group if not t.found]:
         columns = list(dict.fromkeys(t.column for t in open_))
-        histogram = _histogram(df, columns, open_)
-        for target in open_:
-            target.narrow(_ascending(histogram, columns.index(target.column)))
+        histogram = _histogram(df, columns, open_, None, first)
+        for series, column in enumerate(columns):
+            groups = _ascending(histogram, series)
+            for target in (t for t in open_ if t.column == column):
+                target.narrow(groups)
+            if first:
+                found[column] = _merged(groups)
+        first = False
     quantiles = {
         c: [t.low for t in searches[c]] if searches[c] else [None] * len(probabilities)
         for c, probabilities in targets.items()
     }
-    return quantiles, moments
+    return quantiles, found
 
 
 def chained_quantiles(
@@ -143,7 +135,7 @@ def chained_quantiles(
     about one more than columns: each column is narrowed in all of them.
     """
     slack = dict.fromkeys(columns, FILTERED_SLACK) | dict.fromkeys(columns[:1], SLACK)
-    found, _ = _first_brackets(df, dict.fromkeys(columns, probabilities), slack)
+    found = _first_brackets(df, dict.fromkeys(columns, probabilities), slack)
     searches = [[replace(t) for t in found[c]] for c in columns]
     known: list[list[float] | None] = []
     while len(known) < len(columns):
@@ -174,45 +166,33 @@ def _ascending(histogram: list[Row], series: int) -> list[Row]:
     return sorted(own, key=lambda g: (math.isnan(g["smallest"]), g["smallest"]))
 
 
-def _merged(parts: list[Row], smallest: float | None, largest: float | None) -> Moments:
-    """The moments of all rows from those of groups of them."""
-    parts = [p for p in parts if p["n"]]
-    n = sum(p["n"] for p in parts)
+def _merged(groups: list[Row]) -> Moments:
+    """The moments of a column's values from those of groups of them, in ascending order."""
+    n = sum(g["n"] for g in groups)
     if not n:
         return Moments(0, None, None, None, None)
-    mean = sum(p["n"] * p["mean"] for p in parts) / n
+    mean = sum(g["n"] * g["mean"] for g in groups) / n
     # Products, unlike powers, become infinite or no number where doubles end.
-    squares = sum(p["squares"] + p["n"] * (p["mean"] - mean) * (p["mean"] - mean) for p in parts)
-    return Moments(n, mean, squares, smallest, largest)
+    squares = sum(g["squares"] + g["n"] * (g["mean"] - mean) * (g["mean"] - mean) for g in groups)
+    return Moments(n, mean, squares, groups[0]["smallest"], groups[-1]["largest"])
 
 
 def _first_brackets(
     df: DataFrame, targets: Mapping[str, Sequence[float]], slack: Mapping[str, float] | None = None
-) -> tuple[dict[str, list[_Target]], dict[str, Moments]]:
-    """A guess around each quantile from mergeable sketches of bounded size, and moments, in one scan.
+) -> dict[str, list[_Target]]:
+    """A guess around each quantile from mergeable sketches of bounded size.
 
     Sketches of the tasks are merged in groups and the groups' in one, so that no
-    single task receives a sketch from every task of a large scan. The moments of the groups,
-    a few numbers each, are merged on the driver.
+    single task receives a sketch from every task of a large scan.
     """
     series = range(len(targets))
     values = df.select(*(quoted(c).cast("double").alias(f"v{i}") for i, c in enumerate(targets)))
     groups = values.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("merge_group")).agg(
         *(F.count(f"v{i}").alias(f"n{i}") for i in series),
-        *(F.avg(f"v{i}").alias(f"mean{i}") for i in series),
-        *((F.var_pop(f"v{i}") * F.count(f"v{i}")).alias(f"squares{i}") for i in series),
-        *(F.min(f"v{i}").alias(f"smallest{i}") for i in series),
-        *(F.max(f"v{i}").alias(f"largest{i}") for i in series),
         *(F.kll_sketch_agg_double(f"v{i}", SKETCH_SIZE).alias(f"sketch{i}") for i in series),
     )
     sketches = groups.agg(
         *(F.sum(f"n{i}").alias(f"n{i}") for i in series),
-        *(F.min(f"smallest{i}").alias(f"smallest{i}") for i in series),
-        *(F.max(f"largest{i}").alias(f"largest{i}") for i in series),
-        *(
-            F.collect_list(F.struct(*(F.col(f"{name}{i}").alias(name) for name in ("n", "mean", "squares")))).alias(f"parts{i}")
-            for i in series
-        ),
         *(F.kll_merge_agg_double(f"sketch{i}", SKETCH_SIZE).alias(f"sketch{i}") for i in series),
     )
     ends = []
@@ -226,9 +206,8 @@ def _first_brackets(
                 F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, sides))),
             ).alias(f"ends{i}")
         )
-    plain = [f"{name}{i}" for i in series for name in ("n", "smallest", "largest", "parts")]
-    guess = sketches.select(*plain, *ends).first()
-    searches, moments = {}, {}
+    guess = sketches.select(*(f"n{i}" for i in series), *ends).first()
+    searches = {}
     for i, (column, probabilities) in enumerate(targets.items()):
         rows = guess[f"n{i}"] or 0
         sides = guess[f"ends{i}"] or [-math.inf, math.inf] * len(probabilities)
@@ -237,19 +216,35 @@ def _first_brackets(
             for j, p in enumerate(probabilities)
             if rows
         ]
-        moments[column] = _merged(guess[f"parts{i}"] or [], guess[f"smallest{i}"], guess[f"largest{i}"])
-    return searches, moments
+    return searches
+
+
+def _bucket(value: Column, low: Column, high: Column, width: Column) -> Column:
+    """Order-preserving bucket number; each end of the bracket has a bucket to itself."""
+    inside = F.floor((value / 2 - low / 2) / width * BUCKETS) + 1
+    return (
+        F.when(value < low, -1)
+        .when(value == low, 0)
+        .when(value == high, BUCKETS + 2)
+        .when(value > high, BUCKETS + 3)
+        .otherwise(F.coalesce(inside, F.lit(1)))
+    )
 
 
 def _histogram(
-    df: DataFrame, columns: Sequence[str], targets: list[_Target], kept: Sequence[Column] | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    targets: list[_Target],
+    kept: Sequence[Column] | None = None,
+    moments: bool = False,
 ) -> list[Row]:
-    """Rows per (series, bucket of every target): n, smallest, largest.
+    """Rows per (series, bucket of every target): n, smallest, largest; with ``moments`` also mean and squares.
 
     A series is a column, over the rows that its condition in ``kept`` holds for.
 
     Buckets of several targets rise together with the value, so grouping on all of
-    them at once yields no more groups than the targets have buckets in total.
+    them at once yields no more groups than the targets have buckets in total. The brackets
+    are looked up by series and not spelled out, so that code generated for one scan serves the next.
     """
     pairs = [
         F.struct(
@@ -258,22 +253,26 @@ def _histogram(
         )
         for i, c in enumerate(columns)
     ]
-    if len(pairs) == 1:
-        values = df.select(pairs[0].alias("pair")).select("pair.*")
-    else:
-        values = df.select(F.inline(F.array(*pairs)))
-    values = values.filter("value IS NOT NULL")
-    buckets = [
-        F.when(F.col("series") == list(columns).index(t.column), t.bucket(F.col("value"))).alias(f"b{j}")
-        for j, t in enumerate(targets)
+    values = df.select(F.inline(F.array(*pairs))).filter("value IS NOT NULL")
+    of_series = [[t for t in targets if t.column == c] or [_Target(c, 1, 0.0, 0.0)] for c in columns]
+    keys = []
+    for slot in range(max(map(len, of_series))):
+        # A series with fewer targets repeats one.
+        own = [group[min(slot, len(group) - 1)] for group in of_series]
+
+        def of(numbers: list[float | None]) -> Column:
+            return F.get(F.array(*(F.lit(x).cast("double") for x in numbers)), F.col("series"))
+
+        # Halved, so that the width of a bracket spanning all doubles is still finite.
+        widths = [t.high / 2 - t.low / 2 if t.low < t.high else None for t in own]
+        sides = of([t.low for t in own]), of([t.high for t in own]), of(widths)
+        keys.append(_bucket(F.col("value"), *sides).alias(f"b{slot}"))
+    figures = [
+        F.count(F.lit(1)).alias("n"),
+        F.min("value").alias("smallest"),
+        F.max("value").alias("largest"),
     ]
-    return (
-        values.groupBy("series", *buckets)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("value").alias("smallest"),
-            F.max("value").alias("largest"),
-        )
-        .select("series", "n", "smallest", "largest")
-        .collect()
-    )
+    if moments:
+        figures += [F.avg("value").alias("mean"), (F.var_pop("value") * F.count(F.lit(1))).alias("squares")]
+    names = ["series", "n", "smallest", "largest", *(["mean", "squares"] if moments else [])]
+    return values.groupBy("series", *keys).agg(*figures).select(*names).collect()

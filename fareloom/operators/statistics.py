@@ -44,8 +44,8 @@ def summary_statistics(
 ) -> DataFrame:
     """Per column: mean, sample stddev, min, max and median, 0 where there is no value.
 
-    The median is exact; the scan that its search begins with also gives the other figures,
-    which are computed right away. With ``accuracy`` it is an approximate one, all in one aggregate.
+    The median is exact; the first scan of its search that counts values also gives the other
+    figures, which are computed right away. With ``accuracy`` it is an approximate one, all in one aggregate.
     """
     if accuracy is None:
         medians, moments = quantiles_and_moments(df, {c: (0.5,) for c in columns})

@@ -82,9 +82,11 @@ def new_folder(spark: SparkSession, name: str, owned: bool = True) -> str:
     return f"{scope or shared_folder(spark)}/fareloom-{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", infer: bool = True) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of what was written.
 
+    Without ``infer`` the scan takes the columns of ``df``, which spares the job that reads a footer.
+
     Later passes read only the columns they need, filters reach the files, and losing
     an executor loses no intermediate data. The shuffle files of the write are deleted
     as soon as it ends: nothing reads them again.
@@ -97,7 +99,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
         save_to_parquet(df, path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path) if infer else spark.read.schema(df.schema).parquet(path)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

@@ -140,7 +140,7 @@ def test_a_chain_takes_about_a_scan_a_column(spark, monkeypatch):
     assert scans[0] <= 5
 
 
-def test_moments_come_with_the_sketches(spark):
+def test_moments_come_with_the_counts(spark):
     df = spark.range(1000).select((F.col("id") % 7).cast("double").alias("a"), F.lit(None).cast("double").alias("b")).repartition(5)
     found = quantiles.quantiles_and_moments(df, {"a": (0.5,), "b": (0.5,)})[1]
     want = df.agg(F.avg("a"), F.stddev_samp("a"), F.min("a"), F.max("a")).first()
