@@ -174,20 +174,24 @@ def encode(
     ranks_path: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
     digests: bool = False,
+    decoded_digest: bool = False,
 ) -> DataFrame:
     """``df`` with ``n_tokens``, ``ids`` (little-endian unsigned 32-bit) and ``decoded`` bytes.
 
     ``decoded`` is what the ids decode to. With ``digests`` the two binaries are returned as
     ``ids_sha256`` and ``decoded_sha256`` instead, and never leave the Python worker; the text
-    is not carried along. Columns of these names in the input are replaced.
+    is not carried along. With ``decoded_digest`` that holds for the decoded bytes alone. Columns
+    of these names in the input are replaced.
     """
     path = ranks_path or public_tokenizers.path(RANKS_FILE)
-    added = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])]
-    kept = without(df.drop(text) if digests else df, added)
+    hashed = {"ids": digests, "decoded": digests or decoded_digest}
+    added = ["n_tokens", *(f"{name}_sha256" if short else name for name, short in hashed.items())]
+    kept = without(df.drop(text) if digests or decoded_digest else df, added)
     source = [F.col(f"`{c}`") for c in kept.columns]
     rows = df.select(*source, F.col(f"`{text}`").alias("__text"))
     schema = df.select(*source).schema
-    for name, kind in zip(added, ("long", *["string" if digests else "binary"] * 2), strict=True):
+    kinds = ["string" if short else "binary" for short in hashed.values()]
+    for name, kind in zip(added, ("long", *kinds), strict=True):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +203,8 @@ def encode(
                 decoded = [decode_ids(vocab, i) for i in ids]
                 columns = batch.slice(part.start, part.stop - part.start).columns[:-1]
                 columns.append(pa.array([len(i) // 4 for i in ids], pa.int64()))
-                for values in (ids, decoded):
-                    if digests:
+                for values, short in zip((ids, decoded), hashed.values(), strict=True):
+                    if short:
                         columns.append(pa.array([hashlib.sha256(v).hexdigest() for v in values], pa.string()))
                     else:
                         columns.append(pa.array(values, pa.binary()))
