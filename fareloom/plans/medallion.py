@@ -90,9 +90,12 @@ def ingest(raw: DataFrame, feed: str) -> DataFrame:
 
 
 def prepare(bronze: DataFrame) -> DataFrame:
-    """Bronze trips without copies, cleaned and with the derived columns."""
+    """Bronze trips without copies, cleaned and with the derived columns.
+
+    Copies pass or fail the rules together, so they are looked for among the rows that pass.
+    """
     return (
-        bronze.transform(drop_duplicates).transform(clean_trips).transform(add_derived_features)
+        bronze.transform(clean_trips).transform(drop_duplicates).transform(add_derived_features)
     )
 
 
