@@ -5,9 +5,16 @@ out by byte length into matrices, one piece a row. Each round finds every row's
 of smallest rank, merges it, and compacts the row by one column; rows without a pair left are
 taken out of the matrix. Pairs are looked up in an open-addressing hash table of numpy arrays.
 
+A piece of more than ``LONG_PIECE`` bytes has a matrix of its own, whose rows are stretches of
+the piece with their smallest rank kept beside them, so that a round reads only the rows that hold
+the smallest rank of all, and rows are compacted when half of them is merged away. As long as no
+merge of a rank makes a pair of smaller rank, the next pairs of that rank are the next leftmost
+minima, so one round merges them all, up to the first that does. Time is then near to linear in
+the piece, not quadratic.
+
 Nulls count as the empty text, which has no ids. Repeated rows are encoded like any other.
-Texts of any length are encoded whole; memory is bounded by one Arrow batch and by the cache of
-pieces, which is emptied when it is full.
+Texts and pieces of any length are encoded whole; memory is bounded by one Arrow batch and by the
+cache of pieces, which is emptied when it is full.
 """
 
 import base64
@@ -28,6 +35,8 @@ RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
 NO_PAIR = np.int32(2**31 - 1)
 CACHED_PIECES = 400_000
 ROWS_A_MATRIX = 65_536
+LONG_PIECE = 1024
+STRETCH = 256
 
 
 class Vocabulary:
@@ -46,7 +55,12 @@ class Vocabulary:
         self.bits = max(4, (4 * max(1, len(pairs))).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.full(1 << self.bits, NO_PAIR, np.int32)
-        self._fill(np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs)))
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        values = np.fromiter(pairs.values(), np.int32, len(pairs))
+        self._fill(keys, values)
+        # Tokens that are part of a pair of smaller rank than their own.
+        parts = np.concatenate([keys >> 32, keys & 0xFFFFFFFF])
+        self.early = set(parts[np.tile(values, 2) < parts].tolist())
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -112,6 +126,81 @@ def _merge(vocab: Vocabulary, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.
             ids, ranks = ids[:, :used], ranks[:, : max(0, used - 1)]
 
 
+class _LongPiece:
+    """One long piece: ids in stretches, and for each place the rank of its pair with the next one.
+
+    Merged places hold -1 and ``NO_PAIR``. ``before`` and ``after`` lead over them.
+    """
+
+    def __init__(self, vocab: Vocabulary, ids: np.ndarray):
+        self.vocab = vocab
+        rows = -(-len(ids) // STRETCH)
+        self.ids = np.full(rows * STRETCH, -1, np.int32)
+        self.ids[: len(ids)] = ids
+        places = np.arange(len(self.ids))
+        self.before, self.after = places - 1, np.minimum(places + 1, len(places) - 1)
+        self.ranks = np.full(len(places), NO_PAIR, np.int32)
+        self.ranks[:-1] = vocab.pair_ranks(self.ids[:-1], self.ids[1:])
+        self.table = self.ranks.reshape(rows, STRETCH)
+        self.least = self.table.min(axis=1)
+
+    def lowest(self) -> tuple[int, np.ndarray]:
+        """The smallest rank of all and the places that hold it, from left to right."""
+        rank = int(self.least.min())
+        rows = np.flatnonzero(self.least == rank) if rank != NO_PAIR else np.zeros(0, np.int64)
+        row, column = np.nonzero(self.table[rows] == rank)
+        return rank, rows[row] * STRETCH + column
+
+    def before_smaller(self, rank: int, at: np.ndarray) -> np.ndarray:
+        """``at`` up to the first place whose merge, after those before it, makes a pair of smaller rank."""
+        left, gone = self.before[at], self.after[at]
+        right = self.after[gone]
+        token = np.full(len(at), rank, np.int32)
+        ahead = np.where(left >= 0, self.ids[left], -1)
+        ahead[1:][left[1:] == gone[:-1]] = rank
+        behind = np.where(right == gone, -1, self.ids[right])
+        made = np.minimum(self.vocab.pair_ranks(ahead, token), self.vocab.pair_ranks(token, behind))
+        smaller = np.flatnonzero(made < rank)
+        return at[: smaller[0] + 1] if len(smaller) else at
+
+    def merge(self, rank: int, at: np.ndarray) -> None:
+        """Merge the pairs at places that do not overlap, and rank the pairs they are now part of."""
+        gone = self.after[at]
+        beyond = self.after[gone]
+        self.ids[at], self.ids[gone], self.ranks[gone] = rank, -1, NO_PAIR
+        # The last place leads to itself, and a merged last one to nothing.
+        ends = beyond == gone
+        self.after[at] = np.where(ends, at, beyond)
+        self.before[beyond[~ends]] = at[~ends]
+        changed = np.concatenate([self.before[at], at])
+        changed = changed[changed >= 0]
+        following = self.after[changed]
+        ranks = self.vocab.pair_ranks(self.ids[changed], self.ids[following])
+        self.ranks[changed] = np.where(following == changed, NO_PAIR, ranks)
+        rows = np.unique(np.concatenate([changed, gone]) // STRETCH)
+        self.least[rows] = self.table[rows].min(axis=1)
+
+
+def _merge_long(vocab: Vocabulary, ids: np.ndarray) -> np.ndarray:
+    """Final ids of one long piece, always by its leftmost pairs of smallest rank."""
+    piece, left = _LongPiece(vocab, ids), len(ids)
+    while True:
+        rank, at = piece.lowest()
+        if not len(at):
+            return piece.ids[piece.ids >= 0]
+        if len(at) > 1:
+            # In a run of overlapping pairs every other one is merged, from the left.
+            line = np.arange(len(at))
+            follows = np.concatenate([[False], piece.after[at[:-1]] == at[1:]])
+            at = at[(line - np.maximum.accumulate(np.where(follows, 0, line))) % 2 == 0]
+            if rank in vocab.early:
+                at = piece.before_smaller(rank, at)
+        piece.merge(rank, at)
+        left -= len(at)
+        if left < len(piece.ids) // 2 and left > STRETCH:
+            piece = _LongPiece(vocab, piece.ids[piece.ids >= 0])
+
+
 def encode_pieces(vocab: Vocabulary, pieces: list[bytes]) -> list[bytes]:
     """Ids of each piece as little-endian unsigned 32-bit integers."""
     out: list[bytes] = [b""] * len(pieces)
@@ -123,6 +212,10 @@ def encode_pieces(vocab: Vocabulary, pieces: list[bytes]) -> list[bytes]:
         elif piece:
             # Narrow buckets for the usual short pieces, powers of two beyond.
             n = len(piece)
+            if n > LONG_PIECE:
+                own = vocab.byte_ids[np.frombuffer(piece, np.uint8)]
+                out[k] = _merge_long(vocab, own).astype("<u4").tobytes()
+                continue
             buckets.setdefault(n if n <= 24 else 1 << (n - 1).bit_length(), []).append(k)
     for width, members in buckets.items():
         step = max(1, min(ROWS_A_MATRIX, (1 << 21) // width))

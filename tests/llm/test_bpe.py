@@ -1,8 +1,12 @@
 """BPE against the tiktoken library."""
 
 import hashlib
+import heapq
+import random
 import struct
+import time
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import regex
@@ -48,6 +52,63 @@ def test_a_full_cache_changes_nothing(monkeypatch):
         assert bpe.encode_texts(VOCAB, TEXTS, CUT, cache) == [ids_of(t) for t in TEXTS]
 
 
+def merged_by_heap(piece):
+    """Ids of a piece, by a heap of (rank, place) over a linked list."""
+    parts, after, before = [piece[i : i + 1] for i in range(len(piece))], list(range(1, len(piece) + 1)), list(range(-1, len(piece) - 1))
+    heap = []
+
+    def push(i):
+        if 0 <= i and after[i] < len(piece):
+            rank = VOCAB.ranks.get(parts[i] + parts[after[i]])
+            if rank is not None:
+                heapq.heappush(heap, (rank, i, parts[i], parts[after[i]]))
+
+    for i in range(len(piece)):
+        push(i)
+    while heap:
+        _, i, left, right = heapq.heappop(heap)
+        j = after[i]
+        if parts[i] != left or j >= len(piece) or parts[j] != right:
+            continue
+        parts[i], parts[j], after[i] = left + right, None, after[j]
+        if after[j] < len(piece):
+            before[after[j]] = i
+        push(before[i])
+        push(i)
+    return b"".join(struct.pack("<I", VOCAB.ranks[p]) for p in parts if p is not None)
+
+
+LONG_ALPHABETS = ["abcdefghijklmnopqrstuvwxyz", "ab", "a", "the", "äöüßabcXYZ东京", "ABCDEFGHabcdefgh0123456789+/"]
+
+
+@pytest.mark.parametrize("alphabet", LONG_ALPHABETS)
+@pytest.mark.parametrize("length", [bpe.LONG_PIECE, bpe.LONG_PIECE + 1, 3000, 20_000])
+def test_long_pieces_equal_the_librarys(alphabet, length):
+    draw = random.Random(length)
+    text = "".join(draw.choice(alphabet) for _ in range(length))
+    assert bpe.encode_texts(VOCAB, [text, text + " end"], CUT, {}) == [ids_of(text), ids_of(text + " end")]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "the", "ing", "tion", "zz", "ß", "aaa", "tthh", "ab"]), min_size=3, max_size=300))
+def test_the_long_form_equals_the_librarys_at_any_length(parts):
+    piece = "".join(parts).encode()
+    own = bpe._merge_long(VOCAB, VOCAB.byte_ids[np.frombuffer(piece, np.uint8)])
+    assert own.astype("<u4").tobytes() == merged_by_heap(piece)
+    if piece not in VOCAB.ranks:
+        assert own.tolist() == LIBRARY._core_bpe.encode_single_piece(piece)
+
+
+def test_a_million_letters_in_seconds():
+    draw = random.Random(3)
+    piece = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)).encode()
+    start = time.monotonic()
+    ids = bpe.encode_pieces(VOCAB, [piece])[0]
+    # About 3 seconds on one core; a round for every merge would take hours.
+    assert time.monotonic() - start < 60
+    assert ids == merged_by_heap(piece) and bpe.decode_ids(VOCAB, ids) == piece
+
+
 def test_unknown_id():
     with pytest.raises(KeyError):
         bpe.decode_ids(VOCAB, struct.pack("<I", 50_256))
