@@ -1,16 +1,18 @@
-"""LM scoring by deleted interpolation over bigrams.
+"""LM scoring by deleted interpolation over n-grams, bigrams unless ``order`` says otherwise.
 
-A token's probability mixes three estimates, its share among the tokens after the word before
-it, its share of all tokens, and one over the vocabulary and one. The weights of the mixture
-depend on how often the word before occurs (in buckets, powers of two). They are learned by
+A token's probability mixes ``order`` + 1 estimates: for every length below ``order`` its share
+among the tokens after that many words before it, down to its share of all tokens, and one over
+the vocabulary and one. The weights of the mixture depend on the longest run of words before it
+that training has, and on how often it occurs (in buckets, powers of two). They are learned by
 expectation-maximisation on a fifth of the training documents, with counts that leave those
 documents out; scores then use the counts of all training documents.
 
 Counting: texts become numbered words once, in chunks of bounded size stored in the shared
-folder. A chunk asks for the counts of its distinct words and bigrams, by 64-bit hash, in
+folder. A chunk asks for the counts of its distinct n-grams of every length, by 64-bit hash, in
 buckets of the hash space; the answers come back in the order asked, so a count costs a byte or
-two. A frequent word is one entry a chunk, whatever its share of the text. The driver holds the
-weights, and a histogram of held-out tokens of bounded size.
+two. A frequent word is one entry a chunk, whatever its share of the text. Buckets grow in number
+with the tokens, so that what one task holds does not. The driver holds the weights, and a
+histogram of held-out tokens of bounded size.
 
 Nulls are empty texts, which have one token, their end. Without training documents the mixture
 is uniform. Repeated rows are documents of their own; a null id is never held out. Empty tables
@@ -36,7 +38,10 @@ MAIN, WEIGHING, OUTSIDE = 0, 1, 2
 
 START, END = np.uint64(0x5374617274), np.uint64(0x456E64)
 CHUNK_TOKENS = 1_500_000
-WORDS, BIGRAMS = 1, 2
+BUCKET_TOKENS = 4_000_000
+# A kind of n-gram is named by its length; contexts of up to 2 ** 64 occurrences have 65 buckets.
+WORDS = 1
+CONTEXTS = 65
 # The histogram's bins: quarters of a power of two, of probabilities down to 2 ** -60.
 BINS_A_BIT, LEAST_BIT = 4, 60
 
@@ -99,9 +104,9 @@ def tokenise(docs: DataFrame) -> DataFrame:
 
 
 class Chunk:
-    """The numpy arrays of one chunk, its distinct words and bigrams sorted by hash."""
+    """The numpy arrays of one chunk: for each length its distinct n-grams sorted by hash, and each token's place."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, order: int = 2):
         self.doc_ids = row["doc_ids"]
         self.folds = np.frombuffer(row["folds"], np.uint8)
         self.lengths = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
@@ -111,23 +116,24 @@ class Chunk:
         self.fold = np.repeat(self.folds, self.lengths)
         starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
         hashes = words[self.tokens]
-        before = np.empty_like(hashes)
-        before[1:] = hashes[:-1]
-        before[starts] = START
-        with np.errstate(over="ignore"):
-            bigrams = mix(mix(before) * np.uint64(0x9E3779B97F4A7C15) + hashes)
-        self.bigrams, self.bigram = np.unique(bigrams, return_inverse=True)
         # Words, with the start as one more, which is counted once a document.
-        order = np.argsort(mix(words), kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.words = mix(words)[order]
-        self.word = place[self.tokens]
+        by_hash = np.argsort(mix(words), kind="stable")
+        place = np.empty(len(by_hash), np.int64)
+        place[by_hash] = np.arange(len(by_hash))
+        self.grams = {WORDS: (mix(words)[by_hash], place[self.tokens])}
+        ending = hashes
+        for length in range(2, order + 1):
+            before = np.empty_like(ending)
+            before[1:] = ending[:-1]
+            before[starts] = START
+            with np.errstate(over="ignore"):
+                ending = mix(mix(before) * np.uint64(0x9E3779B97F4A7C15) + hashes)
+            self.grams[length] = np.unique(ending, return_inverse=True)
         self.starts = starts
 
     def asked(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Kind, hashes and how often each occurs in main and weighing documents."""
-        for kind, hashes, at in ((WORDS, self.words, self.word), (BIGRAMS, self.bigrams, self.bigram)):
+        for kind, (hashes, at) in self.grams.items():
             main, weighing = (np.bincount(at[self.fold == f], minlength=len(hashes)) for f in (MAIN, WEIGHING))
             yield kind, hashes, main, weighing
 
@@ -147,13 +153,13 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(data, n * 8, codec="zstd", asbytes=True), np.int64)
 
 
-def ask(chunks: DataFrame, buckets: int) -> DataFrame:
+def ask(chunks: DataFrame, buckets: int, order: int = 2) -> DataFrame:
     """What every chunk asks of every bucket, with the counts it adds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for kind, hashes, main, weighing in Chunk(row).asked():
+                for kind, hashes, main, weighing in Chunk(row, order).asked():
                     edges = _edges(hashes, buckets)
                     rows = [
                         {
@@ -201,7 +207,7 @@ def answer(asked: DataFrame) -> DataFrame:
 def _answered(chunk: Chunk, rows: list[dict], buckets: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Total main and weighing counts by kind, in the order of the chunk's hashes."""
     out = {}
-    for kind, hashes in ((WORDS, chunk.words), (BIGRAMS, chunk.bigrams)):
+    for kind, (hashes, _) in chunk.grams.items():
         edges = _edges(hashes, buckets)
         main, weighing = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
         for row in rows:
@@ -214,15 +220,18 @@ def _answered(chunk: Chunk, rows: list[dict], buckets: int) -> dict[int, tuple[n
 
 
 def _estimates(
-    chunk: Chunk, words: np.ndarray, bigrams: np.ndarray, documents: int, tokens: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each token: its word's count, the share after the word before, how often that occurs."""
-    own = words[chunk.word]
-    context = np.empty(len(own), np.int64)
-    context[1:] = own[:-1]
-    context[chunk.starts] = documents
-    after = bigrams[chunk.bigram] / np.maximum(context, 1)
-    return own, after, context
+    chunk: Chunk, counts: dict[int, np.ndarray], documents: int, tokens: int
+) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """For each token: its word's count, its shares by falling length of n-gram, and its context's bucket."""
+    have = {kind: counts[kind][at] for kind, (_, at) in chunk.grams.items()}
+    shares, at = [have[WORDS] / max(1, tokens)], np.zeros(len(have[WORDS]), np.int64)
+    for length in range(2, len(have) + 1):
+        context = np.empty(len(at), np.int64)
+        context[1:] = have[length - 1][:-1]
+        context[chunk.starts] = documents
+        shares.insert(0, have[length] / np.maximum(context, 1))
+        at = np.where(context > 0, bucket_of(context) + CONTEXTS * (length - 2), at)
+    return have[WORDS], shares, at
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -242,73 +251,81 @@ def _middle(at: np.ndarray) -> np.ndarray:
 
 
 def learn_weights(cells: np.ndarray, uniform: float, rounds: int = 100) -> np.ndarray:
-    """Mixture weights (bigram, word, uniform) of each context bucket, by EM on histogram cells.
+    """Mixture weights (n-grams by falling length, uniform) of each context bucket, by EM on histogram cells.
 
-    ``cells`` has rows (bucket, bin of the bigram share, bin of the word share, tokens).
+    ``cells`` has rows (bucket, a bin for the share of each length of n-gram, tokens).
     Buckets without tokens take the weights of the nearest bucket below, or equal ones.
     """
-    weights = np.full((65, 3), 1 / 3)
-    known = np.zeros(65, bool)
+    order = cells.shape[1] - 2
+    buckets, mixed = CONTEXTS * max(1, order - 1), order + 1
+    weights = np.full((buckets, mixed), 1 / mixed)
+    known = np.zeros(buckets, bool)
     for bucket in np.unique(cells[:, 0]) if len(cells) else []:
         own = cells[cells[:, 0] == bucket]
-        p = np.stack([_middle(own[:, 1]), _middle(own[:, 2]), np.full(len(own), uniform)], axis=1)
-        n, w = own[:, 3], np.full(3, 1 / 3)
+        p = np.column_stack([_middle(own[:, 1:-1]), np.full(len(own), uniform)])
+        n, w = own[:, -1], np.full(mixed, 1 / mixed)
         for _ in range(rounds):
             share = p * w
             share /= share.sum(axis=1, keepdims=True)
             w = (share * n[:, None]).sum(axis=0) / n.sum()
         # Unseen words must stay possible however few the held-out tokens.
-        weights[bucket] = (w * n.sum() + np.array([0, 0, 1])) / (n.sum() + 1)
+        weights[bucket] = (w * n.sum() + np.eye(mixed)[-1]) / (n.sum() + 1)
         known[bucket] = True
-    for bucket in range(1, 65):
+    for bucket in range(1, buckets):
         if not known[bucket] and known[:bucket].any():
             weights[bucket] = weights[bucket - 1]
     return weights
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def bucket_count(partitions: int, tokens: int) -> int:
+    """Buckets of the hash space: twice the shuffle partitions, and one for every ``BUCKET_TOKENS`` tokens."""
+    return max(16, 2 * partitions, -(-tokens // BUCKET_TOKENS))
+
+
+def score_documents(docs: DataFrame, order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     base_score is that of smoothed word counts alone, score that of the mixture, both as sums of
-    log10 over the document's tokens.
+    log10 over the document's tokens. ``order`` is the length of the longest n-grams, 1 or more; each
+    further length is one more kind of n-gram to count, stored and shuffled like the bigrams.
     """
+    if order < 1:
+        raise ValueError(f"order must be 1 or more, not {order}")
     spark = docs.sparkSession
-    buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     chunks = stage(tokenise(docs), "chunks")
-    answers = stage(answer(ask(chunks, buckets)), "answers")
-    vocabulary = answers.agg(F.sum("vocabulary")).first()[0] or 0
     sizes = _sizes(chunks)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(partitions, sum(tokens for _, tokens in sizes.values()))
+    answers = stage(answer(ask(chunks, buckets, order)), "answers")
+    vocabulary = answers.agg(F.sum("vocabulary")).first()[0] or 0
     n_docs, n_tokens = sizes.get(MAIN, (0, 0))
     more_docs, more_tokens = sizes.get(WEIGHING, (0, 0))
     train_docs, train_tokens = n_docs + more_docs, n_tokens + more_tokens
     uniform = 1 / (vocabulary + 1)
+    keys = ["b", *(f"p{length}" for length in range(order, 0, -1))]
 
     def weigh(mine: pa.Table, told: pa.Table) -> pa.Table:
         found = []
         for row in mine.to_pylist():
-            chunk = Chunk(row)
-            counts = _answered(chunk, told.to_pylist(), buckets)
-            own, after, context = _estimates(chunk, counts[WORDS][0], counts[BIGRAMS][0], n_docs, n_tokens)
+            chunk = Chunk(row, order)
+            counts = {kind: main for kind, (main, _) in _answered(chunk, told.to_pylist(), buckets).items()}
+            _, shares, at = _estimates(chunk, counts, n_docs, n_tokens)
             used = chunk.fold == WEIGHING
-            cells = np.stack(
-                [bucket_of(context)[used], _bin(after[used]), _bin(own[used] / max(1, n_tokens))], axis=1
-            )
+            cells = np.column_stack([at[used], *(_bin(share[used]) for share in shares)])
             if len(cells):
                 kinds, n = np.unique(cells, axis=0, return_counts=True)
                 found.append(np.column_stack([kinds, n]))
-        rows = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
-        return pa.table({name: pa.array(rows[:, k], pa.int64()) for k, name in enumerate(("b", "p", "q", "n"))})
+        rows = np.concatenate(found) if found else np.zeros((0, order + 2), np.int64)
+        return pa.table({name: pa.array(rows[:, k], pa.int64()) for k, name in enumerate((*keys, "n"))})
 
     def score(mine: pa.Table, told: pa.Table) -> pa.Table:
         out = []
         for row in mine.to_pylist():
-            chunk = Chunk(row)
-            counts = _answered(chunk, told.to_pylist(), buckets)
-            own, after, context = _estimates(
-                chunk, sum(counts[WORDS]), sum(counts[BIGRAMS]), train_docs, train_tokens
-            )
-            w = weights[bucket_of(context)]
-            mixed = w[:, 0] * after + w[:, 1] * (own / max(1, train_tokens)) + w[:, 2] * uniform
+            chunk = Chunk(row, order)
+            counts = {kind: sum(both) for kind, both in _answered(chunk, told.to_pylist(), buckets).items()}
+            own, shares, at = _estimates(chunk, counts, train_docs, train_tokens)
+            w = weights[at]
+            mixed = sum(w[:, k] * share for k, share in enumerate(shares)) + w[:, -1] * uniform
             base = np.log10((own + 0.5) / (train_tokens + 0.5 * (vocabulary + 1)))
             known, scores, bases = (np.add.reduceat(x, chunk.starts) for x in ((own > 0).astype(int), np.log10(mixed), base))
             out.append(
@@ -329,9 +346,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def matched():
         return chunks.groupBy("chunk").cogroup(answers.drop("vocabulary").groupBy("chunk"))
 
-    cells = stage(matched().applyInArrow(weigh, "b long, p long, q long, n long"), "cells")
-    cells = cells.groupBy("b", "p", "q").agg(F.sum("n").alias("n")).collect()
-    weights = learn_weights(np.array([tuple(c) for c in cells], np.int64).reshape(-1, 4), uniform)
+    cells = stage(matched().applyInArrow(weigh, ", ".join(f"{name} long" for name in (*keys, "n"))), "cells")
+    cells = cells.groupBy(*keys).agg(F.sum("n").alias("n")).collect()
+    weights = learn_weights(np.array([tuple(c) for c in cells], np.int64).reshape(-1, order + 2), uniform)
     return matched().applyInArrow(
         score,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",

@@ -97,3 +97,96 @@ def test_weights_are_a_mixture():
     weights = lm.learn_weights(cells, 1e-6)
     assert np.allclose(weights.sum(axis=1), 1) and (weights[:, 2] > 0).all()
     assert weights[5][0] > 0.1 and weights[2][2] > 0.9 and (weights[9] == weights[5]).all()
+
+
+def grams(rows, wanted, order):
+    """How often each run of up to ``order`` tokens ends at a token, and how many documents there are."""
+    counts, docs = Counter(), 0
+    for i, text in rows:
+        if wanted(fold(i)):
+            ts = tokens(text)
+            docs += 1
+            for k in range(len(ts)):
+                # Runs that reach before the first token hold the start, once.
+                counts.update({tuple(["<s>", *ts][max(0, k + 2 - n) : k + 2]) + (n,) for n in range(1, order + 1)})
+    return counts, docs
+
+
+def estimated(ts, counts, docs, total, order):
+    """Per token: its shares by falling length, and the level and power of two of the longest known context."""
+    padded = ["<s>", *ts]
+    for k in range(len(ts)):
+        shares, level = [counts[ts[k], 1] / max(1, total)], (0, 0)
+        for n in range(2, order + 1):
+            context = docs if k == 0 else counts[tuple(padded[max(0, k + 2 - n) : k + 1]) + (n - 1,)]
+            run = tuple(padded[max(0, k + 2 - n) : k + 2]) + (n,)
+            shares.insert(0, counts[run] / max(1, context))
+            if context:
+                level = (n, context.bit_length())
+        yield shares, level
+
+
+def independent_scores(rows, order):
+    """Scores whose weights come from EM over every held-out token's own probabilities, without a histogram."""
+    counts, docs = grams(rows, lambda f: f != 1, order)
+    main, main_docs = grams(rows, lambda f: f not in (0, 1), order)
+    total, main_total = (sum(c for run, c in x.items() if run[-1] == 1) for x in (counts, main))
+    uniform = 1 / (sum(run[-1] == 1 for run in counts) + 1)
+    seen = {}
+    for i, text in rows:
+        if fold(i) == 0:
+            for shares, level in estimated(tokens(text), main, main_docs, main_total, order):
+                seen.setdefault(level, []).append([*shares, uniform])
+    weights = {}
+    for level, p in seen.items():
+        w = [1 / (order + 1)] * (order + 1)
+        for _ in range(100):
+            gained = [0.0] * (order + 1)
+            for line in p:
+                whole = sum(a * b for a, b in zip(w, line, strict=True))
+                for k, x in enumerate(line):
+                    gained[k] += w[k] * x / whole
+            w = [g / len(p) for g in gained]
+        w = [x * len(p) / (len(p) + 1) for x in w]
+        w[-1] += 1 / (len(p) + 1)
+        weights[level] = w
+
+    def mixture(level):
+        """That of the nearest level below if no held-out token has this one, equal weights without any."""
+        below = [x for x in weights if x <= level]
+        return weights[max(below)] if below else [1 / (order + 1)] * (order + 1)
+
+    return {
+        i: sum(
+            math.log10(sum(a * b for a, b in zip(mixture(level), [*shares, uniform], strict=True)))
+            for shares, level in estimated(tokens(text), counts, docs, total, order)
+        )
+        for i, text in rows
+    }
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_orders_equal_counts_in_dictionaries_and_an_independent_em(spark, given, order):
+    rows = [(i, text[:600] if text else text) for i, text in given]
+    want = independent_scores(rows, order)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in lm.score_documents(df, order=order).collect()}
+    assert got.keys() == want.keys()
+    # The operator's EM runs on a histogram of quarter powers of two.
+    assert all(abs(got[i] - s) <= 0.02 * abs(s) for i, s in want.items())
+    assert abs(sum(got[i] for i in want) - sum(want.values())) <= 0.005 * abs(sum(want.values()))
+
+
+def test_an_order_below_one_is_refused(spark):
+    with pytest.raises(ValueError):
+        lm.score_documents(spark.createDataFrame([], "doc_id long, text string"), order=0)
+
+
+def test_more_buckets_give_the_same_and_their_share_is_bounded(spark, given, monkeypatch):
+    df = spark.createDataFrame(given[:60], "doc_id long, text string")
+    want = answer(df)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 100)
+    assert answer(df) == want
+    monkeypatch.undo()
+    for tokens_in_all in (10**6, 5 * 10**9, 25 * 10**9, 10**13):
+        assert tokens_in_all / lm.bucket_count(200, tokens_in_all) <= lm.BUCKET_TOKENS
