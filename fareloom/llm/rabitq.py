@@ -3,12 +3,14 @@
 Every vector, less the centre of all, is rotated by a seeded random rotation and kept as one bit
 a dimension and two scalars: its length, and how well the bits stand for its direction. The
 inner product with a query is estimated from the bits, with a bound on the error that holds with
-a probability set by ``epsilon``. Only vectors whose upper bound reaches the k-th best lower
-bound are reranked on their original components, in double precision.
+a probability set by ``epsilon``. In each block the ``FIRST`` * k vectors of the best estimates are
+scored on their original components, in double precision; the k-th best of these scores is what
+another vector's upper bound has to reach for it to be reranked too.
 
 The queries are matched against all vectors in blocks of bounded size, block against block;
-each pair of blocks is one task's work and yields k rows a query at most. The centre is one
-aggregate over all vectors. The driver holds the rotation and the centre.
+each pair of blocks is one task's work and yields k rows a query at most. Vectors go along in the
+type they are stored in: the bounds of one bit a dimension are so wide that a code sent alone would
+call for many rows of candidates, each larger than the vector. The centre is one aggregate over all vectors. The driver holds the rotation and the centre.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components
 take no part, nor do rows without an id. Of repeated query ids one row asks; repeated rows are
@@ -29,9 +31,11 @@ from fareloom.sources.sinks import stage
 QUERY_BLOCK = 4096
 VECTOR_BLOCK = 4096
 STEP = 256
+# Vectors scored ahead of the others, as a multiple of k.
+FIRST = 16
 
 _VECTOR = pa.list_(pa.float64())
-INDEX = "vec_id long, vector array<double>, code binary, length double, fit double"
+INDEX = "vec_id long, vector {}, code binary, length double, fit double"
 
 
 def taking_part(vector: Column) -> Column:
@@ -41,9 +45,11 @@ def taking_part(vector: Column) -> Column:
 
 
 def valid_vectors(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id and vector (doubles) of the rows that take part."""
+    """vec_id and vector of the rows that take part. Stored floats stay floats; other numbers become doubles."""
+    kind = embeddings.schema[vector].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
     rows = embeddings.select(
-        F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("vector")
+        F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast(kind).alias("vector")
     ).where(F.col("vec_id").isNotNull() & F.coalesce(taking_part(F.col("vector")), F.lit(False)))
     usual = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     return rows.where(F.size("vector") == (usual["d"] if usual else 0))
@@ -79,7 +85,7 @@ def estimate(
 def _block(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     ids = table.column("vec_id").to_numpy()
     flat = table.column("vector").combine_chunks()
-    return ids, flat.flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
+    return ids, flat.flatten().to_numpy().astype(np.float64).reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
 
 
 def search_block(
@@ -96,11 +102,13 @@ def search_block(
         part = slice(start, start + STEP)
         about, error = estimate(queries[part], codes, length, fit, centre, turn, epsilon)
         own = query_ids[part][:, None] == ids
-        low = np.where(own, -np.inf, about - error)
-        reach = np.partition(low, -k, axis=1)[:, -k] if k < len(ids) else np.full(len(low), -np.inf)
-        wanted = (about + error >= reach[:, None]) & ~own
-        for q, line in enumerate(wanted, start):
-            near = np.flatnonzero(line)
+        upper = np.where(own, -np.inf, about + error)
+        several = min(FIRST * k, len(ids))
+        likely = np.argpartition(np.where(own, -np.inf, about), len(ids) - several, axis=1)[:, -several:]
+        for line, q in enumerate(range(start, start + len(upper))):
+            ahead = likely[line][~own[line, likely[line]]]
+            reach = np.sort(vectors[ahead] @ queries[q])[-k] if len(ahead) >= k else -np.inf
+            near = np.union1d(np.flatnonzero((upper[line] >= reach) & ~own[line]), ahead)
             score = vectors[near] @ queries[q]
             best = np.lexsort((ids[near], -score))[:k]
             yield int(query_ids[q]), ids[near[best]], score[best]
@@ -129,7 +137,7 @@ def nearest(
                     names=["vec_id", "vector", "code", "length", "fit"],
                 )
 
-    coded = stage(valid.mapInArrow(index, INDEX), "codes")
+    coded = stage(valid.mapInArrow(index, INDEX.format(valid.schema["vector"].dataType.simpleString())), "codes")
     asking = coded.where(F.col("vec_id") % 20 == 0 if queries_by is None else queries_by)
     asking = stage(asking.select("vec_id", "vector").dropDuplicates(["vec_id"]), "queries")
     query_blocks = max(1, -(-asking.count() // QUERY_BLOCK))
