@@ -7,16 +7,16 @@ has been met; a query is done when its k-th verified distance is within it, so t
 
 Equal codes are one entry of the index, which lists the smallest ids only as far as a result can
 use them, found by partial ranking; a code that many rows share is met once. Queries of equal
-code are probed once. Each round writes what it met and goes on with the queries left.
+code are probed once. The probes of a query are generated from its own row, a bit flipped at a
+time, so neither the driver nor a broadcast holds the flips of a radius. Each round writes what it met and goes on with the queries left.
 
-Rows without id or code take no part. Repeated rows are candidates of their own, of repeated
+Vectors of another length than a code has bits have no code. Rows without id or code take no part. Repeated rows are candidates of their own, of repeated
 query ids one row asks. Ties go to the smaller id. A query never finds rows of its own id.
 Empty tables give empty results; further columns take no part.
 """
 
 import math
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,12 +28,12 @@ BITS = 64
 
 
 def sign_code(vector: Column) -> Column:
-    """A code of the signs of a vector's first 64 components, lowest bit first; null for a null vector."""
+    """A code of the signs of a vector's 64 components, lowest bit first; null for a null vector or one of another length."""
     bits = [
         F.when(F.get(vector, F.lit(k)) > 0, F.lit((1 << k) - (1 << 64 if k == 63 else 0))).otherwise(F.lit(0).cast("long"))
         for k in range(BITS)
     ]
-    return F.when(vector.isNotNull(), reduce(lambda a, b: a.bitwiseOR(b), bits))
+    return F.when(F.size(vector) == BITS, reduce(lambda a, b: a.bitwiseOR(b), bits))
 
 
 def segment_widths(codes: int) -> list[int]:
@@ -67,8 +67,22 @@ def search_steps(widths: list[int]) -> list[tuple[int, range, int]]:
     return out
 
 
-def flips(width: int, radius: int) -> list[int]:
-    return [sum(1 << b for b in chosen) for chosen in combinations(range(width), radius)]
+def probes(asking: DataFrame, widths: list[int], probed: range, radius: int) -> DataFrame:
+    """query, segment, value: the ``probed`` segments of each query code with ``radius`` bits flipped, each way once.
+
+    Bits are flipped in ascending order, and each leaves room for those still to come.
+    """
+    wide = [n for n in probed if radius <= widths[n]]
+    if not wide:
+        return asking.select("query", F.lit(0).alias("segment"), F.lit(0).cast("long").alias("value")).where(F.lit(False))
+    own = F.explode(F.array(*[segments("query", widths)[n] for n in wide])).alias("s")
+    rows = asking.select("query", own).select("query", "s.segment", "s.value")
+    room, first = F.element_at(F.array(*[F.lit(w) for w in widths]), F.col("segment") + 1), F.lit(0)
+    for left in range(radius, 0, -1):
+        rows = rows.select("query", "segment", "value", F.explode(F.sequence(first, room - left)).alias("bit"))
+        rows = rows.withColumn("value", F.col("value").bitwiseXOR(F.expr("shiftleft(1L, bit)")))
+        first = F.col("bit") + 1
+    return rows.select("query", "segment", "value")
 
 
 def top_k(rows: DataFrame, queries_by: Column, k: int = 10) -> DataFrame:
@@ -76,7 +90,6 @@ def top_k(rows: DataFrame, queries_by: Column, k: int = 10) -> DataFrame:
 
     ``rows`` has vec_id and code; ``queries_by`` picks the rows that ask.
     """
-    spark = rows.sparkSession
     named = rows.select(F.col("vec_id").cast("long"), F.col("code").cast("long")).dropna()
     by_code = W.partitionBy("code").orderBy("vec_id")
     # Of a code's rows a result can need k, after the asking row itself is left out: all rows of
@@ -97,15 +110,8 @@ def top_k(rows: DataFrame, queries_by: Column, k: int = 10) -> DataFrame:
     distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
     steps = search_steps(widths)
     for radius, probed, covered in steps:
-        masks = [(n, m) for n in probed if radius <= widths[n] for m in flips(widths[n], radius)]
-        lists = spark.createDataFrame(masks, "segment int, mask long")
-        probes = (
-            active.select("query", F.explode(F.array(*segments("query", widths))).alias("s"))
-            .select("query", "s.segment", "s.value")
-            .join(F.broadcast(lists), "segment")
-            .select("query", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-        )
-        found = probes.join(index, ["segment", "value"]).select("query", "code", "rows", distance.alias("distance"))
+        asked = probes(active, widths, probed, radius)
+        found = asked.join(index, ["segment", "value"]).select("query", "code", "rows", distance.alias("distance"))
         if met is not None:
             found = found.union(met.join(active, "query", "left_semi"))
         found = found.distinct()

@@ -1,6 +1,7 @@
 """Exact top-k over binary codes against brute force and against SQL."""
 
 import random
+from itertools import combinations
 
 import pytest
 from oracle_compare import connect, differences
@@ -69,5 +70,32 @@ def test_steps_meet_every_code_they_cover():
                 assert any((n, d) in probed for n, d in enumerate(parts))
 
 
+def test_probes_are_all_values_within_the_radius(spark):
+    widths, code = [33, 16, 15], signed(0xF0E1D2C3B4A59687)
+    asking = spark.createDataFrame([(code,)], "query long")
+    for radius, probed in ((0, range(3)), (1, range(3)), (2, range(1, 3)), (3, range(1, 2)), (15, range(1, 3)), (16, range(1, 3)), (17, range(1, 3))):
+        got = sorted((r.segment, r.value) for r in hamming.probes(asking, widths, probed, radius).collect())
+        want, at = [], 0
+        for n, width in enumerate(widths):
+            value = (code & (2**64 - 1)) >> at & ((1 << width) - 1)
+            if n in probed:
+                want += [(n, value ^ sum(1 << b for b in bits)) for bits in combinations(range(width), radius)]
+            at += width
+        assert got == sorted(want), radius
+
+
+def test_a_code_takes_a_vector_of_its_length(spark):
+    vectors = [[1.0] * 64, [-1.0] * 63 + [1.0], [0.0] * 64, [1.0] * 65, [1.0] * 63, [], None, [None] * 64]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(vectors)], "k int, v array<float>")
+    got = {r.k: r.code for r in df.select("k", hamming.sign_code(F.col("v")).alias("code")).collect()}
+    assert got == {0: -1, 1: signed(1 << 63), 2: 0, 3: None, 4: None, 5: None, 6: None, 7: 0}
+
+
+def test_no_broadcast_is_asked_for_the_flips(spark):
+    asking = spark.createDataFrame([(5,)], "query long")
+    plan = hamming.probes(asking, [32, 32], range(2), 6)._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Generate" in plan
+
+
 def test_query_equals_its_sql(spark):
     assert differences(op8_hamming_search(spark, SF_DIR), connect(SF_DIR), oracle.SQL["op8_hamming_search"]) == []
