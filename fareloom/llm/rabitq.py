@@ -108,8 +108,13 @@ def search_block(
         for line, q in enumerate(range(start, start + len(upper))):
             ahead = likely[line][~own[line, likely[line]]]
             reach = np.sort(vectors[ahead] @ queries[q])[-k] if len(ahead) >= k else -np.inf
-            near = np.union1d(np.flatnonzero((upper[line] >= reach) & ~own[line]), ahead)
+            wanted = upper[line] >= reach
+            wanted[ahead] = True
+            near = np.flatnonzero(wanted & ~own[line])
             score = vectors[near] @ queries[q]
+            if k < len(near):
+                best = score >= np.partition(score, -k)[-k]
+                near, score = near[best], score[best]
             best = np.lexsort((ids[near], -score))[:k]
             yield int(query_ids[q]), ids[near[best]], score[best]
 
