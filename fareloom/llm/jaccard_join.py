@@ -8,7 +8,8 @@ pair is verified only if the prefixes share at least the smaller of the two ``l`
 
 1. A shingle that only one node has can link nothing, and a node with more of them than a link
    leaves room for has no partner. A quarter of the hash space is counted first; that drops
-   the nodes without any partner before the full sets of the others are counted.
+   the nodes without any partner before the full sets of the others are counted. A node without
+   a shingle in that quarter stays.
 2. The nodes left take their prefixes from the shingles they share, ordered by frequency.
 3. Prefix shingles with the same nodes count once. Nodes of one short list are paired by a
    join. Long lists (large groups of near copies) are never expanded into rows of pairs: the
@@ -169,8 +170,11 @@ def _counted(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return tokens, nodes, sizes, np.repeat(counts, counts)
 
 
-def nodes_with_partners(packed: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Nodes whose shingles known to be theirs alone leave room for a link: node."""
+def nodes_without_partners(packed: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """Nodes with more shingles known to be theirs alone than a link leaves room for: node.
+
+    A node of which no shingle is in ``packed``, as small ones may be, is not known to be one.
+    """
     types = pa.schema([("bucket", pa.int32()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("alone", pa.binary())])
 
     def count(rows: pa.Table) -> pa.Table:
@@ -199,8 +203,8 @@ def nodes_with_partners(packed: DataFrame, percent: int, buckets: int) -> DataFr
         )
         found, first, back = np.unique(nodes, return_index=True, return_inverse=True)
         total = np.bincount(back, alone)
-        kept = total <= most_unshared(sizes[first].astype(np.int64), percent)
-        return pa.table({"node": pa.array(found[kept], pa.int64())})
+        without = total > most_unshared(sizes[first].astype(np.int64), percent)
+        return pa.table({"node": pa.array(found[without], pa.int64())})
 
     counted = packed.groupBy("bucket").applyInArrow(count, "bucket int, nodes binary, sizes binary, alone binary")
     return counted.groupBy("bucket").applyInArrow(decide, "node long")
@@ -422,8 +426,8 @@ def document_classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     nodes = known.where("node IS NOT NULL").groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min("key").alias("key")
     )
-    partnered = nodes_with_partners(scatter(docs, width, SAMPLED_PART, buckets), percent, buckets)
-    left = stage(nodes.join(partnered, "node", "left_semi"), "nodes")
+    lonely = nodes_without_partners(scatter(docs, width, SAMPLED_PART, buckets), percent, buckets)
+    left = stage(nodes.join(lonely, "node", "left_anti"), "nodes")
     # The same join at every size: a broadcast would only suit few nodes.
     wanted = left.select("key").hint("merge")
     texts = docs.select(F.xxhash64("text").alias("key"), "text").join(wanted, "key", "left_semi")

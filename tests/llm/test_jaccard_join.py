@@ -107,6 +107,15 @@ def test_more_buckets_give_the_same_and_their_share_is_bounded(spark, monkeypatc
         assert shingles / jj.bucket_count(200, shingles) <= jj.BUCKET_SHINGLES
 
 
+def test_links_of_short_texts_without_a_sampled_shingle_are_found(spark):
+    texts = [" ".join(f"{k}x{j}" for j in range(n)) for k in range(60) for n in (9, 10)]
+    rows = list(enumerate(texts))
+    powers = Powers()
+    sampled = [(shingle_set(t, 4, powers) % np.uint64(jj.SAMPLED_PART) == 0).any() for t in texts]
+    assert not all(sampled)
+    assert answer(spark, rows) == brute(rows, 4, 85)
+
+
 def test_nulls_repeated_rows_and_empty_tables(spark):
     text = "a b c d e f g h"
     rows = [(7, text), (7, text), (None, text), (None, "z z z z"), (3, "q"), (3, text + " i"), (None, None)]
