@@ -17,6 +17,7 @@ kept, and those named like an added one replaced.
 """
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -115,7 +116,9 @@ def fit(
     penalty: float = 1e-3,
 ) -> Model:
     """Maximise the noisy-or likelihood of document labels by Adam, with an L1 penalty on weights."""
-    found = [sentences(t) for t in texts]
+    # Equal words are one object: the sample has millions of words but far fewer different ones.
+    one: dict[str, str] = {}
+    found = [[[one.setdefault(w, w) for w in words] for words in sentences(t)] for t in texts]
     kept = [k for k, doc in enumerate(found) if doc]
     y = np.array([labels[k] for k in kept], float)
     if not 0 < y.sum() < len(kept):
@@ -124,15 +127,15 @@ def fit(
     features = choose_features(found, y, most_features)
     ids: dict[str, list[int]] = {}
     document = np.repeat(np.arange(len(kept)), [len(doc) for doc in found])
-    sentence, feature = [], []
+    sentence, feature = array("q"), array("q")
     for s, words in enumerate(words for doc in found for words in doc):
         for word in set(words):
             known = ids.get(word)
             if known is None:
                 known = ids[word] = [features[f] for f in word_features(word) if f in features]
             if known:
-                sentence += [s] * len(known)
-                feature += known
+                sentence.extend([s] * len(known))
+                feature.extend(known)
     sentence, feature = np.array(sentence, np.int64), np.array(feature, np.int64)
     n, size = len(kept), len(features)
     theta = np.zeros(size + 1)

@@ -1,6 +1,7 @@
 """Toxicity: held-out accuracy, located sentences, odd rows."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -44,6 +45,16 @@ def test_sentences_are_located_from_document_labels():
         assert found == ([] if where is None else [where])
 
 
+def test_fitting_holds_equal_words_once():
+    texts, labels, _ = corpus(600, 3)
+    words = sum(len(t.split()) for t in texts)
+    tracemalloc.start()
+    toxicity.fit(texts, labels, steps=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 110 * words
+
+
 def test_noisy_or_of_sentences():
     model = toxicity.Model({"bad": 2.0}, -1.0)
     p = model.sentence_scores("bad thing. fine\nBAD!")
