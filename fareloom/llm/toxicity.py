@@ -19,7 +19,7 @@ kept, and those named like an added one replaced.
 import re
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -90,11 +90,11 @@ class Model:
         return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())) if len(p) else 0.0
 
 
-def choose_features(found: list[list[list[str]]], y: np.ndarray, most: int) -> dict[str, int]:
-    """The features of at least three documents that are most associated with the label (chi-square)."""
+def choose_features(found: Iterable[set[str]], y: np.ndarray, most: int) -> dict[str, int]:
+    """The features of at least three documents (sets of words) that are most associated with the label (chi-square)."""
     having, toxic = Counter(), Counter()
     for doc, label in zip(found, y, strict=True):
-        features = {f for w in {w for s in doc for w in s} for f in word_features(w)}
+        features = {f for w in doc for f in word_features(w)}
         having.update(features)
         if label:
             toxic.update(features)
@@ -116,27 +116,35 @@ def fit(
     penalty: float = 1e-3,
 ) -> Model:
     """Maximise the noisy-or likelihood of document labels by Adam, with an L1 penalty on weights."""
-    # Equal words are one object: the sample has millions of words but far fewer different ones.
-    one: dict[str, str] = {}
-    found = [[[one.setdefault(w, w) for w in words] for words in sentences(t)] for t in texts]
-    kept = [k for k, doc in enumerate(found) if doc]
+    # Words are held as numbers, all sentences in one array: the sample has millions of words but far fewer different ones.
+    number: dict[str, int] = {}
+    words, ends, sizes, kept = array("i"), array("q", [0]), [], []
+    for k, text in enumerate(texts):
+        found = sentences(text)
+        for sentence in found:
+            words.extend([number.setdefault(w, len(number)) for w in sentence])
+            ends.append(len(words))
+        if found:
+            kept.append(k)
+            sizes.append(len(found))
     y = np.array([labels[k] for k in kept], float)
     if not 0 < y.sum() < len(kept):
         return Model({}, 0.0 if y.sum() else -40.0)
-    found = [found[k] for k in kept]
-    features = choose_features(found, y, most_features)
-    ids: dict[str, list[int]] = {}
-    document = np.repeat(np.arange(len(kept)), [len(doc) for doc in found])
+    names = list(number)
+    last = np.cumsum(sizes)
+    spans = zip((last - sizes).tolist(), last.tolist(), strict=True)
+    features = choose_features(({names[w] for w in words[ends[i] : ends[j]]} for i, j in spans), y, most_features)
+    ids = [[features[f] for f in word_features(name) if f in features] for name in names]
+    document = np.repeat(np.arange(len(kept)), sizes)
     sentence, feature = array("q"), array("q")
-    for s, words in enumerate(words for doc in found for words in doc):
-        for word in set(words):
-            known = ids.get(word)
-            if known is None:
-                known = ids[word] = [features[f] for f in word_features(word) if f in features]
+    for s in range(len(document)):
+        for word in set(words[ends[s] : ends[s + 1]]):
+            known = ids[word]
             if known:
                 sentence.extend([s] * len(known))
                 feature.extend(known)
-    sentence, feature = np.array(sentence, np.int64), np.array(feature, np.int64)
+    del words, ends, number, names, ids
+    sentence, feature = np.frombuffer(sentence, np.int64), np.frombuffer(feature, np.int64)
     n, size = len(kept), len(features)
     theta = np.zeros(size + 1)
     theta[-1] = -4 - np.log(max(1.0, len(document) / n))

@@ -55,6 +55,16 @@ def test_fitting_holds_equal_words_once():
     assert peak < 110 * words
 
 
+def test_fitting_holds_words_as_numbers():
+    texts, labels, _ = corpus(3000, 3)
+    words = sum(len(t.split()) for t in texts)
+    tracemalloc.start()
+    toxicity.fit(texts, labels, steps=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 70 * words
+
+
 def test_noisy_or_of_sentences():
     model = toxicity.Model({"bad": 2.0}, -1.0)
     p = model.sentence_scores("bad thing. fine\nBAD!")
