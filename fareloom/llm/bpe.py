@@ -13,8 +13,8 @@ minima, so one round merges them all, up to the first that does. Time is then ne
 the piece, not quadratic.
 
 Nulls count as the empty text, which has no ids. Repeated rows are encoded like any other.
-Texts and pieces of any length are encoded whole; memory is bounded by one Arrow batch and by the
-cache of pieces, which is emptied when it is full.
+Texts and pieces of any length are encoded whole; memory is bounded by one Arrow batch, by the pieces
+of ``PART_BYTES`` of its texts (or of one longer text) and by the cache of pieces, which is emptied when it is full.
 """
 
 import base64
@@ -25,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,10 @@ from fareloom.llm.common import without
 
 RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
 NO_PAIR = np.int32(2**31 - 1)
-CACHED_PIECES = 400_000
-ROWS_A_MATRIX = 65_536
+CACHED_PIECES = 100_000
+# Bytes of text that are cut into pieces at once, and cells of a matrix.
+PART_BYTES = 500_000
+CELLS = 1 << 18
 LONG_PIECE = 1024
 STRETCH = 256
 
@@ -218,7 +221,7 @@ def encode_pieces(vocab: Vocabulary, pieces: list[bytes]) -> list[bytes]:
                 continue
             buckets.setdefault(n if n <= 24 else 1 << (n - 1).bit_length(), []).append(k)
     for width, members in buckets.items():
-        step = max(1, min(ROWS_A_MATRIX, (1 << 21) // width))
+        step = max(1, CELLS // width)
         for start in range(0, len(members), step):
             part = members[start : start + step]
             sizes = np.array([len(pieces[k]) for k in part])
@@ -250,15 +253,17 @@ def decode_ids(vocab: Vocabulary, ids: bytes) -> bytes:
     return b"".join(map(vocab.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _batches(texts: list, most_chars: int = 4_000_000) -> Iterator[slice]:
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch, whose last column is the text, of so many bytes of text or one longer text."""
     start, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size > most_chars:
-            yield slice(start, k + 1)
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+    for k, more in enumerate(pc.binary_length(batch.column(batch.num_columns - 1)).to_pylist()):
+        more = more or 0
+        if k > start and size + more > PART_BYTES:
+            yield batch.slice(start, k - start)
+            start, size = k, 0
+        size += more
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
 
 def encode(
@@ -290,11 +295,10 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, cut, cache = vocabulary(path), regex.compile(pattern), {}
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for part in _batches(texts):
-                ids = encode_texts(vocab, texts[part], cut, cache)
+            for part in _parts(batch):
+                ids = encode_texts(vocab, part.column(part.num_columns - 1).to_pylist(), cut, cache)
                 decoded = [decode_ids(vocab, i) for i in ids]
-                columns = batch.slice(part.start, part.stop - part.start).columns[:-1]
+                columns = part.columns[:-1]
                 columns.append(pa.array([len(i) // 4 for i in ids], pa.int64()))
                 for values, short in zip((ids, decoded), hashed.values(), strict=True):
                     if short:

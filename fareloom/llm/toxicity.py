@@ -37,7 +37,7 @@ EDGES = "\"'`,;:()[]{}<>|*_#$%&@+=~^/\\-"
 # The largest sample the model is fitted on.
 MOST_DOCUMENTS = 8_000
 MOST_WORDS = 3_000_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 # A document longer than one such part of the sample's characters is not in the sample.
 LONGEST_PART = 20
 

@@ -5,9 +5,11 @@ import heapq
 import random
 import struct
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -52,6 +54,32 @@ def test_a_full_cache_changes_nothing(monkeypatch):
         assert bpe.encode_texts(VOCAB, TEXTS, CUT, cache) == [ids_of(t) for t in TEXTS]
 
 
+def test_memory_of_a_worker_is_bounded_by_a_part_of_a_batch():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzäöü", k=rng.randint(4, 9)))
+    texts = [" ".join(word() for _ in range(300)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    cache, ids = {}, []
+    tracemalloc.start()
+    for part in bpe._parts(batch):
+        ids += bpe.encode_texts(VOCAB, part.column(1).to_pylist(), CUT, cache)
+    peak = tracemalloc.get_traced_memory()[1] - sum(map(len, ids))
+    tracemalloc.stop()
+    assert peak < 75e6
+    assert ids[::100] == [ids_of(t) for t in texts[::100]]
+
+
+def test_parts_of_a_batch_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(bpe, "PART_BYTES", 10)
+    texts = ["", None, "x" * 25, "abc", "défg", "hi", None, "y" * 11, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(bpe._parts(batch))
+    assert [t for part in parts for t in part.column(1).to_pylist()] == texts
+    assert [k for part in parts for k in part.column(0).to_pylist()] == list(range(len(texts)))
+    assert [part.num_rows for part in parts] == [2, 1, 4, 1, 1]
+    assert list(bpe._parts(batch.slice(0, 0))) == []
+
+
 def merged_by_heap(piece):
     """Ids of a piece, by a heap of (rank, place) over a linked list."""
     parts, after, before = [piece[i : i + 1] for i in range(len(piece))], list(range(1, len(piece) + 1)), list(range(-1, len(piece) - 1))
