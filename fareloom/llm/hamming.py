@@ -85,6 +85,16 @@ def probes(asking: DataFrame, widths: list[int], probed: range, radius: int) ->
     return rows.select("query", "segment", "value")
 
 
+def candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """query, code, rows, distance: the entries of ``index`` that probes meet.
+
+    Spark takes the probes for as few as the queries they are generated from, so a join of its
+    choice would gather all of them on the driver and broadcast them.
+    """
+    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
+    return asked.hint("merge").join(index, ["segment", "value"]).select("query", "code", "rows", distance.alias("distance"))
+
+
 def top_k(rows: DataFrame, queries_by: Column, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id, distance: the k nearest of every query, nearest first.
 
@@ -107,11 +117,9 @@ def top_k(rows: DataFrame, queries_by: Column, k: int = 10) -> DataFrame:
     own = own.groupBy("query").agg(F.max(F.least("copies", F.lit(k))).alias("own"))
     active = stage(queries.select("query").distinct().join(own, "query", "left").na.fill(0, ["own"]), "active")
     met, done = None, []
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
     steps = search_steps(widths)
     for radius, probed, covered in steps:
-        asked = probes(active, widths, probed, radius)
-        found = asked.join(index, ["segment", "value"]).select("query", "code", "rows", distance.alias("distance"))
+        found = candidates(probes(active, widths, probed, radius), index)
         if met is not None:
             found = found.union(met.join(active, "query", "left_semi"))
         found = found.distinct()

@@ -97,5 +97,17 @@ def test_no_broadcast_is_asked_for_the_flips(spark):
     assert "Join" not in plan and "Generate" in plan
 
 
+def test_probes_are_not_gathered_on_the_driver(spark, tmp_path, plan):
+    """Radius 4 makes 72,000 probes of one query, which statistics take for one row."""
+    spark.createDataFrame([(5,)], "query long").write.parquet(f"{tmp_path}/asking")
+    entries = ["id AS code", "1L AS rows", "CAST(id % 2 AS int) AS segment", "id AS value"]
+    spark.range(1000).selectExpr(*entries).write.parquet(f"{tmp_path}/index")
+    asking, index = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("asking", "index"))
+    found = hamming.candidates(hamming.probes(asking, [32, 32], range(2), 4), index)
+    assert "Broadcast" not in plan(found) and "SortMergeJoin" in plan(found)
+    want = [(5, c, 1, (5 ^ c).bit_count()) for c in range(1000) if ((5 if c % 2 == 0 else 0) ^ c).bit_count() == 4]
+    assert sorted(map(tuple, found.collect())) == want
+
+
 def test_query_equals_its_sql(spark):
     assert differences(op8_hamming_search(spark, SF_DIR), connect(SF_DIR), oracle.SQL["op8_hamming_search"]) == []
